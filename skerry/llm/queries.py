@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import sharding
+from . import packing, rules, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -28,3 +28,25 @@ def op4_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"), F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"))
     out = sharding.shard(docs, "doc_id", shards=16)
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "home")
+
+
+@query("op9_llr_quality_rules")
+def op9_llr_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and log-likelihood ratio of every document; trusted: labelled quality 1, not toxic."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").filter("doc_id is not null").groupBy("doc_id").agg(F.min((F.col("quality") == 1) & (F.col("toxic") == 0)).alias("trusted"))
+    ratios = rules.fit(docs.join(labels, "doc_id", "left"), "trusted")
+    return rules.quality_rules(docs, ratios).drop("text")
+
+
+def word_tokenizer() -> str:
+    """The vocabulary file that the packing query reads."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op8_best_fit_packing")
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces of 4096 tokens at most, packed."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"), word_tokenizer(), capacity=4096)
