@@ -30,7 +30,9 @@ from ..operators.ranking import hash_cell, rank_in_cells
 from ..scratch import materialize
 from .common import literal_rows
 
-CAPACITY, END_ID, RANK_CELLS = 4096, 1, 64
+CAPACITY, END_ID = 4096, 1
+#: Pieces of one length that a task should rank at most, on average.
+CELL_ROWS, MIN_CELLS = 200_000, 64
 #: Words whose ids a worker remembers at most; beyond, the table starts anew.
 CACHE_WORDS = 400_000
 
@@ -157,7 +159,7 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, in
     return out
 
 
-def pack(pieces: DataFrame, order: list[str], capacity: int = CAPACITY, cells: int = RANK_CELLS) -> DataFrame:
+def pack(pieces: DataFrame, order: list[str], capacity: int = CAPACITY) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to pieces with a ``length`` of 1 to ``capacity``.
 
     ``order`` is a total order of the pieces (rows that tie are interchangeable);
@@ -168,6 +170,7 @@ def pack(pieces: DataFrame, order: list[str], capacity: int = CAPACITY, cells: i
     if counts and not 0 < min(counts) <= max(counts) <= capacity:
         raise ValueError(f"piece lengths must be 1 to {capacity}")
     ranges = literal_rows(pieces.sparkSession, plan(counts, capacity), "__l long,__lo long,__hi long,__bin long,__each long,__off long")
+    cells = max(MIN_CELLS, max(counts.values(), default=0) // CELL_ROWS)
     ranked = rank_in_cells(pieces.withColumn("__cell", hash_cell(cells, *order)), ["length"], "__cell", order, "__rank")
     # A few ranges a length: bounded by the capacity, not by the data.
     at = ranked.join(F.broadcast(ranges), (F.col("length") == F.col("__l")) & (F.col("__rank") >= F.col("__lo")) & (F.col("__rank") < F.col("__hi")))

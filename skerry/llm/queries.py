@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..scratch import materialize
 from ..session import table
-from . import packing, rules, sharding
+from . import mixing, packing, rules, sharding
+from .common import words
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -50,3 +52,11 @@ def word_tokenizer() -> str:
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces of 4096 tokens at most, packed."""
     return packing.pack_documents(table(spark, sf_dir, "documents"), word_tokenizer(), capacity=4096)
+
+
+@query("op6_flow_mixing")
+def op6_flow_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", F.size(words(F.col("text"))).cast("long").alias("size"))
+    out = mixing.mix_documents(materialize(docs, "sizes"))
+    return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
