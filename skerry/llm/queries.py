@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..scratch import materialize
 from ..session import table
-from . import mixing, packing, rules, sharding
+from . import mixing, packing, quality, rules, sharding
 from .common import words
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,3 +60,11 @@ def op6_flow_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", F.size(words(F.col("text"))).cast("long").alias("size"))
     out = mixing.mix_documents(materialize(docs, "sizes"))
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
+
+
+@query("op3_rule_ensemble_quality")
+def op3_rule_ensemble_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; learnt from at most 4000 labelled rows that aren't held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), max_rows=4000)
+    return quality.classify(docs, model).select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
