@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..scratch import materialize
 from ..session import table
-from . import mixing, packing, quality, rules, sharding
+from . import langid, mixing, packing, quality, rules, sharding
 from .common import words
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,11 @@ def op3_rule_ensemble_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality.fit(docs, table(spark, sf_dir, "labels"), max_rows=4000)
     return quality.classify(docs, model).select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
+
+
+@query("op7_byte_cnn_language")
+def op7_byte_cnn_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; learnt from at most 400 documents a language that aren't held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    net = langid.fit(docs, per_lang=400)
+    return langid.identify(docs.select("doc_id", "text", langid.held_out().alias("held_out")), net)
