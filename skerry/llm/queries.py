@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..scratch import materialize
 from ..session import table
-from . import langid, mixing, packing, quality, rules, sharding
+from . import langid, mixing, packing, quality, rules, sharding, tiff
 from .common import words
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +76,9 @@ def op7_byte_cnn_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     net = langid.fit(docs, per_lang=400)
     return langid.identify(docs.select("doc_id", "text", langid.held_out().alias("held_out")), net)
+
+
+@query("op2_tiff_media")
+def op2_tiff_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document stored as a TIFF, read back and described."""
+    return tiff.archive(table(spark, sf_dir, "documents"))
