@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..scratch import materialize
 from ..session import table
-from . import langid, mixing, packing, quality, rules, sharding, tiff
+from . import langid, minhash, mixing, packing, quality, rules, sharding, tiff
 from .common import words
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +82,9 @@ def op7_byte_cnn_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_tiff_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document stored as a TIFF, read back and described."""
     return tiff.archive(table(spark, sf_dir, "documents"))
+
+
+@query("op1_fast_sketch_near_dedup")
+def op1_fast_sketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document; sets of 2-word shingles, similarity 0.8."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), words=2, percent=80)
