@@ -26,7 +26,7 @@ SYMBOLS = "#*$%&|<>"
 WINDOW, MIN_WORDS, MAX_REPEAT_PERCENT = 8, 20, 30
 BUCKETS, SMOOTHING = 65_536, 1.0
 #: Mean log ratio a document needs, in natural units per n-gram.
-THRESHOLD = -0.35
+THRESHOLD = -0.2
 
 
 def _repeat_words(hashes: Column) -> Column:
