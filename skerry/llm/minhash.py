@@ -31,8 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.graph import components
 from ..scratch import materialize
+from .linking import link_buckets, shared_buckets
 
 BANDS, ROWS = 32, 5
 SIZE = BANDS * ROWS
@@ -181,9 +181,7 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, id_col: st
     info = materialize(real.join(reps, "id", "left_semi").dropDuplicates(["id"]), "rep")
     # Rows of one id with different texts: their classes hold together.
     same = member.filter("id <> rep").select("id", "rep").join(reps, "id", "left_semi").select(F.col("id").alias("u"), F.col("rep").alias("v"))
-    every = info.select("id", F.explode("bands").alias("band"))
-    shared = every.groupBy("band").agg(F.count("*").alias("c"), F.min("id").alias("lead")).filter("c > 1").select("band", "lead")
-    bucket = materialize(every.join(shared, "band"), "bucket")
+    bucket = shared_buckets(info.select("id", F.explode("bands").alias("band")))
     near = materialize(bucket.select("id").distinct(), "near")
     sets = materialize(shingle_sets(df.join(near.select(F.col("id").alias(id_col)), id_col, "left_semi").dropDuplicates([id_col]), words, id_col, text), "sets")
 
@@ -192,22 +190,7 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, id_col: st
         side = lambda s: sets.select(F.col("id").alias(s), F.col("set").alias(f"s{s}"))
         return fit.join(side("x"), "x").join(side("y"), "y").filter(_alike(percent)).select(F.col("x").alias("u"), F.col("y").alias("v"))
 
-    # One leader a document: the smallest of its bands.
-    pairs = bucket.groupBy("id").agg(F.min("lead").alias("y")).filter("id <> y").select(F.col("id").alias("x"), "y")
-    links = materialize(confirm(pairs).union(same), "link")
-    for last in (False, True):
-        label = materialize(components(links), "label")
-        tagged = bucket.join(label, "id", "left").select("band", "id", F.coalesce("component", "id").alias("tag"))
-        open_ = tagged.groupBy("band").agg(F.min("tag").alias("lo"), F.max("tag").alias("hi"), F.min(F.struct("id", "tag")).alias("lead")).filter("lo <> hi").select("band", F.col("lead.id").alias("y"), F.col("lead.tag").alias("main"))
-        mixed = materialize(tagged.join(open_, "band"), "mixed")
-        stray = mixed.filter("tag <> main")
-        if not last:  # the leader of every band that isn't one component yet
-            more = stray.select(F.col("id").alias("x"), "y").distinct()
-        else:  # what still differs from its leader, against all others of its band
-            a, b = stray.select("band", F.col("id").alias("x"), F.col("tag").alias("tx")), mixed.select("band", F.col("id").alias("y"), F.col("tag").alias("ty"), "main")
-            more = a.join(b, "band").filter("tx <> ty and (ty = main or y < x)").select("x", "y").distinct()
-        links = materialize(links.union(confirm(more)), "link")
-    label = components(links)
+    label = link_buckets(bucket, confirm, same)
     found = member.join(label.select(F.col("id").alias("rep"), "component"), "rep", "left").select("id", "n", F.coalesce("component", "rep").alias("component_id"))
     alone = known.filter("not (n > 0 and id is not null)").select("id", "n", F.col("id").alias("component_id"))
     return found.union(alone).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..scratch import materialize
 from ..session import table
-from . import langid, minhash, mixing, packing, quality, rules, sharding, tiff
+from . import langid, lines, minhash, mixing, packing, quality, rules, sharding, tiff
 from .common import words
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +88,12 @@ def op2_tiff_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_fast_sketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document; sets of 2-word shingles, similarity 0.8."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), words=2, percent=80)
+
+
+@query("op5_segment_line_dedup")
+def op5_segment_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its (near-)repeated lines of 32 bytes or more removed, as digests."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = lines.dedup_lines(docs, edits=2, min_bytes=32)
+    kept = F.coalesce("text", F.lit(""))
+    return out.select("doc_id", "n_lines", "n_removed", F.octet_length(kept).cast("long").alias("kept_bytes"), F.sha2(kept.cast("binary"), 256).alias("kept_sha256"))
