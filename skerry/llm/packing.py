@@ -16,7 +16,9 @@ that a third of all pieces share is spread over many tasks.
 
 from __future__ import annotations
 
+import functools
 import heapq
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -33,40 +35,70 @@ from .common import literal_rows
 CAPACITY, END_ID = 4096, 1
 #: Pieces of one length that a task should rank at most, on average.
 CELL_ROWS, MIN_CELLS = 200_000, 64
-#: Words whose ids a worker remembers at most; beyond, the table starts anew.
-CACHE_WORDS = 400_000
+#: Words, and pieces of words, whose ids a worker remembers at most; beyond, a table starts anew.
+CACHE_WORDS = 300_000
+
+#: Words that the short way below covers: printable ASCII and the Latin-1 letters.
+PLAIN = re.compile("[!-~\u00c0-\u00ff]+")
+#: Fixed value: the vocabulary's pre-tokenizer pattern, for such words in lower case.
+PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^\\sa-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
+
+
+def byte_symbols() -> dict[int, str]:
+    """Byte-level vocabularies' symbol for each byte: itself if printable, else the next from 256 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) if b in shown else chr(256 + hidden.index(b)) for b in range(256)}
 
 
 class WordIds:
     """Ids of a text by a ``tokenizers`` file, each distinct blank-separated word encoded once.
 
-    For tokenizers whose pieces never contain or look across a space or a line
-    feed, as with a pre-tokenizer that drops white space.
+    For lower-casing word vocabularies with ``PIECES`` as their pre-tokenizer,
+    whose pieces never contain or look across a space or a line feed.  Words of
+    plain letters and signs are cut into pieces here, and only pieces not seen
+    before go to the vocabulary's merges; any other word goes through the whole
+    tokenizer.
     """
 
     def __init__(self, path: str):
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
-
-    def learn(self, words: list[str]) -> None:
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        for w, e in zip(words, self.tokenizer.encode_batch(words, add_special_tokens=False), strict=True):
-            self.known[w] = np.asarray(e.ids, dtype="<u4").tobytes()
+        self.tokenizer = Tokenizer.from_file(path)
+        self.merge = self.tokenizer.model.tokenize
+        self.words: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.symbols = byte_symbols()
+
+    def piece(self, piece: str) -> bytes:
+        got = self.pieces.get(piece)
+        if got is None:
+            if len(self.pieces) >= 2 * CACHE_WORDS:
+                self.pieces.clear()
+            text = piece if piece.isascii() else "".join(map(self.symbols.__getitem__, piece.encode()))
+            got = self.pieces[piece] = b"".join([t.id.to_bytes(4, "little") for t in self.merge(text)])
+        return got
+
+    def word(self, word: str) -> bytes:
+        if PLAIN.fullmatch(word) and "<|" not in word:
+            return b"".join(map(self.piece, PIECES.findall(word.lower())))
+        return np.asarray(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def __call__(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
+        known = self.words
+        if len(known) >= CACHE_WORDS:
+            known.clear()
         parts = text.replace("\n", " ").split(" ")
-        new = set(parts).difference(self.known)
-        if new:
-            self.learn(list(new))
-            if len(new) < len(set(parts)) and any(p not in self.known for p in parts):  # the table was cleared
-                self.learn(list(set(parts)))
-        return b"".join(map(self.known.__getitem__, parts))
+        for w in set(parts).difference(known):
+            known[w] = self.word(w)
+        return b"".join(map(known.__getitem__, parts))
+
+
+@functools.lru_cache(2)
+def word_ids(path: str) -> WordIds:
+    """One table a worker process, kept from task to task."""
+    return WordIds(path)
 
 
 def tokenize(df: DataFrame, path: str, capacity: int = CAPACITY, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -79,7 +111,7 @@ def tokenize(df: DataFrame, path: str, capacity: int = CAPACITY, id_col: str = "
     kind = df.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, end = WordIds(path), np.asarray([END_ID], dtype="<u4").tobytes()
+        ids_of, end = word_ids(path), np.asarray([END_ID], dtype="<u4").tobytes()
         for b in batches:
             rows: dict[str, list] = {"at": [], "piece": [], "start": [], "length": [], "ids_crc32": []}
             for i, t in enumerate(b.column(1).to_pylist()):
