@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..scratch import materialize
 from ..session import table
-from . import langid, lines, minhash, mixing, packing, quality, rules, sharding, tiff
+from . import langid, lines, minhash, mixing, packing, quality, rules, sharding, suffixes, tiff
 from .common import words
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +97,9 @@ def op5_segment_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lines.dedup_lines(docs, edits=2, min_bytes=32)
     kept = F.coalesce("text", F.lit(""))
     return out.select("doc_id", "n_lines", "n_removed", F.octet_length(kept).cast("long").alias("kept_bytes"), F.sha2(kept.cast("binary"), 256).alias("kept_sha256"))
+
+
+@query("op10_suffix_merge_dedup")
+def op10_suffix_merge_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes that repeat an earlier 100-byte string, as digests."""
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
