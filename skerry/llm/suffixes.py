@@ -321,7 +321,7 @@ def decide(runs: list[Run]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         live = order[(low[order] <= o) & (high[order] >= o)]
         if len(live) < 2:
             continue
-        key = _mix(left[live] ^ _mix(run[live]))
+        key = _mix(_mix(left[live]) * _BASE + run[live])  # not symmetric in the two
         by = np.argsort(key, kind="stable")
         s = key[by]
         again = np.zeros(len(s), bool)
