@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .registry import ORACLES, QUERIES
 
-_MODULES: tuple[str, ...] = ()
+_MODULES: tuple[str, ...] = ("catalog", "store")
 
 
 def _load() -> None:

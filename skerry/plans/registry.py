@@ -23,3 +23,22 @@ def query(name: str, sql: str | None = None) -> Callable[[Plan], Plan]:
         return plan
 
     return put
+
+
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
+
+
+def sql(name: str, text: str, duck: str | None = None) -> None:
+    """Registers a plan written in SQL; ``{table}`` names a table of the scale factor.
+
+    ``duck`` is the oracle's own wording, where the dialects or types differ.
+    """
+    used = [t for t in TABLES if "{" + t + "}" in text]
+
+    def plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return spark.sql(text, **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in used})
+
+    oracle = duck or text
+    for t in TABLES:
+        oracle = oracle.replace("{" + t + "}", t)
+    query(name, oracle)(plan)
