@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .registry import ORACLES, QUERIES
 
-_MODULES: tuple[str, ...] = ("catalog", "store")
+_MODULES: tuple[str, ...] = ("catalog", "store", "audit")
 
 
 def _load() -> None:
