@@ -176,3 +176,23 @@ def pip29_live_rate_extrapolation(spark: SparkSession, sf_dir: str) -> DataFrame
     one = orders.agg(F.count_if(F.col("o_orderkey") % 7 == 0).alias("n"), F.count_if((F.col("o_orderkey") % 7 == 0) & (F.col("o_orderstatus") == "F")).alias("hits"), F.count("*").alias("population"))
     lo, hi = stats.wald_band(F.col("hits"), F.col("n"), F.col("population"))
     return one.select("n", "hits", "population", F.round(lo, 4).alias("lo"), F.round(hi, 4).alias("hi"))
+
+
+@query("set11_greedy_hamming_clusters")
+def set11_greedy_hamming_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Greedy clusters of sign hashes within each label; order-dependent, so a brute-force test holds it."""
+    from ..operators.clusters import greedy_hamming
+
+    bits = F.aggregate(F.transform(F.slice("embedding", 1, 62), lambda x: (x > 0).cast("long")), F.lit(0).cast("long"), lambda acc, b: F.shiftleft(acc, 1) + b)
+    return greedy_hamming(table(spark, sf_dir, "embeddings").select("label", "vec_id", bits.alias("h")), "label", "vec_id", "h", 22)
+
+
+@query("pip23_term_search", "SELECT b.vec_id, rank FROM (SELECT e.vec_id, row_number() OVER (ORDER BY round(list_dot_product(q.embedding::DOUBLE[], e.embedding::DOUBLE[]), 9) DESC, e.vec_id) AS rank FROM embeddings e JOIN (SELECT embedding FROM embeddings WHERE vec_id = 0) q ON 1 = 1) b WHERE rank <= 20")
+def pip23_term_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty rows nearest to one term's vector."""
+    from pyspark.sql import Window
+
+    rows = table(spark, sf_dir, "embeddings")
+    term = [(0, list(r[0])) for r in rows.filter("vec_id = 0").select("embedding").limit(1).collect()]
+    order = Window.partitionBy("query_id").orderBy(F.desc(F.round("score", 9)), "vec_id")
+    return top_k(rows, term, 20).select("vec_id", F.row_number().over(order).cast("long").alias("rank"))
