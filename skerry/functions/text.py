@@ -28,7 +28,7 @@ def parent_region(cell: Column) -> Column:
 def wrap_to_signed(v: Column) -> Column:
     """An unsigned 64-bit number (as a decimal) read as signed; null if out of range."""
     d = v.cast("decimal(38,0)")
-    half, full = F.lit(1 << 63).cast("decimal(38,0)"), F.lit(1 << 64).cast("decimal(38,0)")
+    half, full = F.lit(str(1 << 63)).cast("decimal(38,0)"), F.lit(str(1 << 64)).cast("decimal(38,0)")
     return F.when((d >= half) & (d < full), (d - full).cast("long")).when((d >= 0) & (d < half), d.cast("long"))
 
 
