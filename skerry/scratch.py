@@ -9,6 +9,7 @@ local folder created and stored in the session.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -42,3 +43,13 @@ def release(spark: SparkSession) -> None:
     while _written:
         path = jvm.org.apache.hadoop.fs.Path(_written.pop())
         path.getFileSystem(conf).delete(path, True)
+
+
+def free_exchanges(spark: SparkSession) -> None:
+    """Lets Spark delete the exchange files of frames that nothing refers to any more.
+
+    Spark does so by itself whenever the driver's heap is collected; a plan that
+    has just written its result elsewhere need not keep them on disk until then.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
