@@ -24,7 +24,7 @@ from .common import let, literal_array, words
 #: The characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
 WINDOW, MIN_WORDS, MAX_REPEAT_PERCENT = 8, 20, 30
-BUCKETS, SMOOTHING = 65_536, 1.0
+BUCKETS, PRIOR = 65_536, 3.0
 #: Mean log ratio a document needs, in natural units per n-gram.
 THRESHOLD = -0.2
 
@@ -81,19 +81,19 @@ def grams(hashes: Column, buckets: int = BUCKETS) -> Column:
 def fit(df: DataFrame, trusted: str, text: str = "text", buckets: int = BUCKETS) -> list[float]:
     """The log ratio of each bucket, from every row; ``trusted`` is a boolean column.
 
-    Add-one smoothed.  Without trusted rows (or any rows) all ratios are of the
-    smoothed uniform target, so no document stands out.
+    The target is smoothed towards the raw corpus with a weight of ``PRIOR``
+    n-grams a bucket, so that what was seen a few times says little.  Without
+    trusted rows (or any rows) all ratios are 0.
     """
     hashes = F.transform(words(F.col(text)), lambda w: F.xxhash64(w))
     seen = df.select(F.coalesce(F.col(trusted), F.lit(False)).cast("int").alias("t"), F.explode(grams(hashes, buckets)).alias("b"))
-    raw, good = [SMOOTHING] * buckets, [SMOOTHING] * buckets
+    raw, good = [0] * buckets, [0] * buckets
     for r in seen.groupBy("b").agg(F.count("*").alias("n"), F.sum("t").alias("g")).collect():  # `buckets` rows at most
-        raw[r[0]] += r[1]
-        good[r[0]] += r[2]
-    if sum(good) == SMOOTHING * buckets:
+        raw[r[0]], good[r[0]] = r[1], r[2]
+    if not sum(good):
         return [0.0] * buckets
-    shift = math.log(sum(raw)) - math.log(sum(good))
-    return [round(math.log(g) - math.log(r) + shift, 6) for g, r in zip(good, raw, strict=True)]
+    share = sum(good) / sum(raw)
+    return [round(math.log(g + PRIOR) - math.log(r * share + PRIOR), 6) for g, r in zip(good, raw, strict=True)]
 
 
 def score(hashes: Column, ratios: list[float]) -> Column:
