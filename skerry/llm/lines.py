@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..scratch import materialize
@@ -201,12 +201,25 @@ def _members(df: DataFrame, text: str, min_bytes: int, edits: int) -> DataFrame:
     return df.select(text).mapInArrow(run, "band long, id long")
 
 
+def parities(line: bytes) -> tuple[int, int]:
+    """Whether bytes and byte pairs occur an odd number of times, in 64 classes each.
+
+    One edit changes at most two classes of bytes and four of pairs, which bounds
+    the edits between two lines from below.
+    """
+    a = np.frombuffer(line, np.uint8).astype(np.int64)
+    one = np.bincount(a & 63, minlength=64) & 1
+    two = np.bincount((a[:-1] * 31 + a[1:] * 17) & 63, minlength=64) & 1
+    return tuple(int(np.packbits(x.astype(np.uint8)).view(np.int64)[0]) for x in (one, two))
+
+
 def _texts(df: DataFrame, text: str, min_bytes: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _distinct(batches, min_bytes, 0):
-            yield pa.RecordBatch.from_arrays([pa.array(list(part), pa.int64()), pa.array(list(part.values()), pa.binary())], names=["id", "bytes"])
+            odd = [parities(x) for x in part.values()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(part), pa.int64()), pa.array(list(part.values()), pa.binary()), *[pa.array([o[k] for o in odd], pa.int64()) for k in range(2)]], names=["id", "bytes", "p1", "p2"])
 
-    return df.select(text).mapInArrow(run, "id long, bytes binary")
+    return df.select(text).mapInArrow(run, "id long, bytes binary, p1 long, p2 long")
 
 
 def _near(pairs: DataFrame, edits: int) -> DataFrame:
@@ -234,10 +247,13 @@ def line_classes(df: DataFrame, edits: int = EDITS, min_bytes: int = MIN_BYTES,
 
     def confirm(pairs: DataFrame) -> DataFrame:
         side = lambda s: texts.select(F.col("id").alias(s), F.col("bytes").alias(f"t{s}"))
-        close = F.abs(F.octet_length("tx") - F.octet_length("ty")) <= edits
-        return _near(pairs.join(side("x"), "x").join(side("y"), "y").filter(close), edits)
+        return _near(pairs.join(side("x"), "x").join(side("y"), "y"), edits)
+
+    def near(x: str, y: str) -> Column:
+        flips = lambda c: F.bit_count(F.col(f"{x}{c}").bitwiseXOR(F.col(f"{y}{c}")))
+        return (F.abs(F.col(f"{x}n") - F.col(f"{y}n")) <= edits) & (flips("p1") <= 2 * edits) & (flips("p2") <= 4 * edits)
 
-    label = link_buckets(bucket, confirm)
+    label = link_buckets(bucket, confirm, texts.select("id", F.octet_length("bytes").alias("n"), "p1", "p2"), near)
     tagged = where.join(label, "id", "left").select("doc", "line", "id", F.coalesce("component", "id").alias("component"))
     tagged = materialize(tagged, "tagged")
     first = tagged.groupBy("component").agg(F.min(F.struct("doc", "line")).alias("f"))
