@@ -9,13 +9,14 @@ local folder created and stored in the session.
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _KEY = "spark.checkpoint.dir"
+#: Lets an execution delete its own exchange files at its end.
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _written: list[str] = []
 
 
@@ -29,10 +30,22 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame, name: str = "t") -> DataFrame:
-    """Write ``df`` once into the shared folder and return a scan of it."""
+    """Write ``df`` once into the shared folder and return a scan of it.
+
+    What was shuffled for it is deleted with the write, so disk holds the table
+    and not both.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/skerry/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    was = spark.conf.get(_CLEAN, None)
+    spark.conf.set(_CLEAN, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if was is None:
+            spark.conf.unset(_CLEAN)
+        else:
+            spark.conf.set(_CLEAN, was)
     _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -43,13 +56,3 @@ def release(spark: SparkSession) -> None:
     while _written:
         path = jvm.org.apache.hadoop.fs.Path(_written.pop())
         path.getFileSystem(conf).delete(path, True)
-
-
-def free_exchanges(spark: SparkSession) -> None:
-    """Lets Spark delete the exchange files of frames that nothing refers to any more.
-
-    Spark does so by itself whenever the driver's heap is collected; a plan that
-    has just written its result elsewhere need not keep them on disk until then.
-    """
-    gc.collect()
-    spark._jvm.System.gc()
