@@ -102,4 +102,4 @@ def op5_segment_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_suffix_merge_dedup")
 def op10_suffix_merge_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the bytes that repeat an earlier 100-byte string, as digests."""
-    return suffixes.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents"))

@@ -42,7 +42,7 @@ from ..scratch import materialize
 
 LENGTH, K = 100, 40
 REACH = LENGTH - K  # largest offset of an anchor in its window; at most 62, as offsets are bits
-BATCH_BYTES = 8 << 20
+BATCH_BYTES, BATCH_SUFFIXES = 8 << 20, 250_000
 #: Documents whose anchors set the ranges of the exchange (the first by a hash of their id).
 RANGE_DOCS, PARTS_PER_TASK = 400, 3
 
@@ -94,9 +94,20 @@ def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
 # -- exchange of anchor hashes ------------------------------------------------
 
 
+def _six(h: np.ndarray) -> bytes:
+    """The lower six bytes of each hash: candidates are compared in full later."""
+    return h.astype("<u8").view("u1").reshape(-1, 8)[:, :6].tobytes()
+
+
+def _from_six(raw: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(raw) // 6, 8), "u1")
+    out[:, :6] = raw.reshape(-1, 6)
+    return out.view("<u8").reshape(-1)
+
+
 def _pack_hashes(h: np.ndarray, doc: np.ndarray, docs: np.ndarray, place: np.ndarray, low: np.ndarray, high: np.ndarray, probes: np.ndarray) -> bytes:
     """Occurrences and, of hashes settled already, ``probes`` that only say "repeated"."""
-    parts = [struct.pack("<III", len(h), len(docs), len(probes)), docs.astype("<i8").tobytes(), h.astype("<u8").tobytes(), probes.astype("<u8").tobytes(), doc.astype("<u4").tobytes()]
+    parts = [struct.pack("<III", len(h), len(docs), len(probes)), docs.astype("<i8").tobytes(), _six(h), _six(probes), doc.astype("<u2" if len(docs) < 1 << 16 else "<u4").tobytes()]
     parts += [(place & 0xFFFF).astype("<u2").tobytes(), (place >> 16).astype("<u2").tobytes(), low.astype("u1").tobytes(), high.astype("u1").tobytes()]
     return b"".join(parts)
 
@@ -104,22 +115,23 @@ def _pack_hashes(h: np.ndarray, doc: np.ndarray, docs: np.ndarray, place: np.nda
 def _unpack_hashes(blob: bytes) -> tuple[np.ndarray, ...]:
     n, d, p = struct.unpack_from("<III", blob)
     at, out = 12, []
-    for kind, count in (("<i8", d), ("<u8", n), ("<u8", p), ("<u4", n), ("<u2", n), ("<u2", n), ("u1", n), ("u1", n)):
+    for kind, count in (("<i8", d), ("u1", 6 * n), ("u1", 6 * p), ("<u2" if d < 1 << 16 else "<u4", n), ("<u2", n), ("<u2", n), ("u1", n), ("u1", n)):
         out.append(np.frombuffer(blob, kind, count, at))
         at += out[-1].nbytes
     docs, h, probes, doc, p0, p1, low, high = out
+    h, probes = _from_six(h), _from_six(probes)
     return h, docs[doc] if n else np.empty(0, np.int64), p0.astype(np.int64) | p1.astype(np.int64) << 16, low, high, probes
 
 
-def _batches(batches: Iterator[pa.RecordBatch], weigh) -> Iterator[list[tuple]]:
-    """Rows of Arrow batches in lists of about ``BATCH_BYTES``."""
+def _batches(batches: Iterator[pa.RecordBatch], weigh, most: int = BATCH_BYTES) -> Iterator[list[tuple]]:
+    """Rows of Arrow batches in lists that weigh about ``most``."""
     part, size = [], 0
     for b in batches:
         for i in range(b.num_rows):
             row = tuple(c[i].as_py() for c in b.columns)
             part.append(row)
             size += weigh(row)
-            if size >= BATCH_BYTES:
+            if size >= most:
                 yield part
                 part, size = [], 0
     if part:
@@ -144,10 +156,10 @@ def _send_hashes(parts: int):
             again = np.zeros(len(h), bool)
             again[1:] = h[1:] == h[:-1]
             again[:-1] |= again[1:].copy()
-            part = (h >> np.uint64(32)) % np.uint64(parts)  # settled ones may go anywhere: they are spread by their place
+            part = (h & np.uint64(0xFFFFFFFFFFFF)) % np.uint64(parts)  # settled ones may go anywhere: they are spread by their place
             part[again] = np.arange(int(again.sum()), dtype=np.uint64) % np.uint64(parts)
             probe = np.unique(h[again])
-            probe_part = (probe >> np.uint64(32)) % np.uint64(parts)
+            probe_part = (probe & np.uint64(0xFFFFFFFFFFFF)) % np.uint64(parts)
             out_part, blobs = [], []
             order = np.argsort(part, kind="stable")
             cuts = np.searchsorted(part[order], np.arange(parts + 1, dtype=np.uint64))
@@ -285,10 +297,21 @@ def merge(runs: list[Run]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     for n in range(total):
         out_run[n], out_at[n], out_lcp[n] = win, runs[win].i, have[win]
         have[win] = runs[win].step()
-        node = (win + size) // 2
+        node = (win + size) >> 1
         while node:
-            win, loser[node] = play(win, loser[node])
-            node //= 2
+            other = loser[node]
+            mine, its = have[win], have[other]
+            if its > mine:
+                loser[node], win = win, other
+            elif its == mine and its >= 0:
+                x, y = runs[win].now, runs[other].now
+                k = shared(x, y, its)
+                if x[k : k + 1] <= y[k : k + 1]:
+                    have[other] = k
+                else:
+                    have[win] = k
+                    loser[node], win = win, other
+            node >>= 1
     return out_run, out_at, out_lcp
 
 
@@ -328,23 +351,25 @@ def decide(runs: list[Run]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         again[1:] = s[1:] == s[:-1]
         mask[live[by[again]]] |= np.uint64(1 << o)
     hit = np.flatnonzero(mask)
+    hit = hit[np.argsort(doc[hit], kind="stable")]
     return doc[hit], place[hit], mask[hit]
 
 
-def _runs(splits: list[bytes]):
+def _runs(splits: list[bytes], keep: bool):
     """Texts with their anchors -> texts kept for the cut, sorted runs, and windows settled here."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squeeze = zstandard.ZstdCompressor(3)
+        squeeze = zstandard.ZstdCompressor(6)
         names = ["kind", "doc", "part", "place", "mask", "blob"]
         kinds = [pa.int8(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
-        for rows in _batches(batches, lambda r: 3 * 170 * len(r[2] or ())):
+        for rows in _batches(batches, lambda r: 1 + len(r[2] or ()), BATCH_SUFFIXES):
             out: list[tuple] = []
             best: dict[tuple, tuple[int, int]] = {}
+            settled: dict[int, list[tuple[int, int]]] = {}
             for doc, text, places in rows:
                 data = (text or "").encode()
                 if not places:
-                    out.append((0, doc, None, None, None, squeeze.compress(data)))
+                    out.append((0, doc, None, len(data), None, data if keep else hashlib.sha256(data).digest()))
                     continue
                 out.append((1, doc, None, None, None, squeeze.compress(data)))
                 for p in places:
@@ -358,7 +383,9 @@ def _runs(splits: list[bytes]):
                         best[key], (gone, at) = (doc, a), was
                     else:
                         gone, at = doc, a
-                    out.append((3, gone, None, at, _all_offsets(low, high), None))
+                    settled.setdefault(gone, []).append((at - high, at - low + LENGTH))
+            for doc, spans in settled.items():
+                out += [(3, doc, None, lo, hi, None) for lo, hi in _joined(spans)]
             items = sorted((r, le, low, d, a) for (r, le, low), (d, a) in best.items())
             ends = [bisect_right(items, s, key=lambda x: x[0][:K]) for s in splits] + [len(items)]
             at = 0
@@ -373,8 +400,55 @@ def _runs(splits: list[bytes]):
     return run
 
 
-def _all_offsets(low: int, high: int) -> int:
-    return ((1 << (high + 1)) - 1) & ~((1 << low) - 1)
+def _joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans that touch or overlap as one."""
+    out: list[tuple[int, int]] = []
+    for lo, hi in sorted(spans):
+        if out and lo <= out[-1][1]:
+            out[-1] = (out[-1][0], max(hi, out[-1][1]))
+        else:
+            out.append((lo, hi))
+    return out
+
+
+def repeats(place: np.ndarray, mask: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Byte spans of the windows of anchors, one for each run of set offsets, and the anchor's row."""
+    lows, highs, rows = [], [], []
+    before = np.zeros(len(mask), bool)
+    start = np.zeros(len(mask), np.int64)
+    for o in range(REACH + 2):
+        now = (mask >> np.uint64(o) & np.uint64(1)).astype(bool)
+        start[now & ~before] = o
+        end = before & ~now
+        lows.append(place[end] - (o - 1))
+        highs.append(place[end] - start[end] + LENGTH)
+        rows.append(row[end])
+        before = now
+    return np.concatenate(lows), np.concatenate(highs), np.concatenate(rows)
+
+
+def joined(doc: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Spans of each document that touch or overlap as one."""
+    if not len(doc):
+        return doc, lo, hi
+    order = np.lexsort((lo, doc))
+    doc, lo, hi = doc[order], lo[order], hi[order]
+    rank = np.cumsum(np.append(0, doc[1:] != doc[:-1])) * (int(hi.max()) + 1)  # ends of later documents are larger
+    reach = np.maximum.accumulate(hi + rank)
+    new = np.append(True, lo[1:] + rank[1:] > reach[:-1])
+    first = np.flatnonzero(new)
+    return doc[first], lo[first], reach[np.append(first[1:], len(doc)) - 1] - rank[first]
+
+
+def cut(data: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int, int]:
+    """What is left without the spans, bytes removed, and maximal runs removed."""
+    gone = _joined(spans)
+    left, at = [], 0
+    for lo, hi in gone:
+        left.append(data[at:lo])
+        at = hi
+    left.append(data[at:])
+    return b"".join(left), sum(hi - lo for lo, hi in gone), len(gone)
 
 
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -384,30 +458,19 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             parts.setdefault(k, []).append(blob.as_py())
     for k in sorted(parts):
         doc, place, mask = decide([Run(x) for x in parts.pop(k)])
-        yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(place), pa.array(mask.view(np.int64))], names=["doc", "place", "mask"])
-
-
-def cut(data: bytes, windows: list[tuple[int, int]]) -> tuple[bytes, int, int]:
-    """What is left without the windows ``(anchor, offsets)``, bytes removed, and maximal runs removed."""
-    steps = np.zeros(len(data) + 1, np.int64)
-    place = np.array([w[0] for w in windows], np.int64)
-    mask = np.array([w[1] for w in windows], np.int64).view(np.uint64)
-    for o in range(REACH + 1):
-        p = place[(mask >> np.uint64(o) & np.uint64(1)).astype(bool)] - o
-        np.add.at(steps, p, 1)
-        np.add.at(steps, p + LENGTH, -1)
-    gone = np.cumsum(steps[:-1]) > 0
-    return np.frombuffer(data, np.uint8)[~gone].tobytes(), int(gone.sum()), int((np.diff(gone.astype(np.int8), prepend=0) == 1).sum())
+        at = np.arange(len(doc))
+        lo, hi, row = repeats(place, mask, at)
+        doc, lo, hi = joined(doc[row], lo, hi)
+        yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(lo), pa.array(hi)], names=["doc", "lo", "hi"])
 
 
 def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    expand = zstandard.ZstdDecompressor()
     for b in batches:
-        expand = zstandard.ZstdDecompressor()
         cols: list[list] = [[] for _ in range(5)]
         for i in range(b.num_rows):
             data = expand.decompress(b.column(1)[i].as_py())
-            windows = b.column(2)[i].as_py()
-            left, n, spans = cut(data, [(w["place"], w["mask"]) for w in windows]) if windows else (data, 0, 0)
+            left, n, spans = cut(data, [(s["lo"], s["hi"]) for s in b.column(2)[i].as_py() or ()])
             for c, v in zip(cols, (len(data), n, spans, hashlib.sha256(left).hexdigest(), left), strict=True):
                 c.append(v)
         yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(c, pa.int64()) for c in cols[:3]], pa.array(cols[3], pa.string()), pa.array(cols[4], pa.binary())], names=["doc", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
@@ -430,8 +493,8 @@ def _splitters(docs: DataFrame, parts: int) -> list[bytes]:
     return sorted({found[len(found) * k // parts] for k in range(1, parts)}) if found else []
 
 
-def remove_repeats(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: id, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` and ``kept`` (the bytes left).
+def remove_repeats(df: DataFrame, id_col: str = "doc_id", text: str = "text", keep: bool = False) -> DataFrame:
+    """Per row: id, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256``; with ``keep`` also ``kept``, the bytes left.
 
     Matches are judged on the input and never cross documents; texts shorter
     than 100 bytes lose nothing; null counts as empty.  Ids are expected to be
@@ -444,14 +507,17 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text: str = "text") ->
     parts = PARTS_PER_TASK * tasks
     docs = df.select(F.col(id_col).cast("long").alias("__id"), F.col(text).alias("__text"))
     real = docs.filter("__id is not null")
+    splits = _splitters(real, parts)
     found = real.mapInArrow(_send_hashes(parts), "part int, blob binary").repartition(tasks, "part").mapInArrow(_repeated, "doc long, place long, low smallint, high smallint")
     by_doc = found.groupBy("doc").agg(F.collect_list(F.struct("place", "low", "high")).alias("places"))
     joined = docs.join(by_doc, F.col("__id") == F.col("doc"), "left").select("__id", "__text", "places")
-    splits = _splitters(real, parts)
-    stored = materialize(joined.mapInArrow(_runs(splits), "kind byte, doc long, part int, place long, mask long, blob binary"), "runs")
-    merged = stored.filter("kind = 2").select("part", "blob").repartition(tasks, "part").mapInArrow(_merged, "doc long, place long, mask long")
-    windows = merged.union(stored.filter("kind = 3").select("doc", "place", "mask")).groupBy("doc").agg(F.collect_list(F.struct("place", "mask")).alias("windows"))
-    some = stored.filter("kind = 1").select("doc", "blob").join(windows, "doc", "left")
-    whole = stored.filter("kind = 0").select("doc", "blob", F.lit(None).cast("array<struct<place:bigint,mask:bigint>>").alias("windows"))
-    out = some.select("doc", "blob", "windows").union(whole).mapInArrow(_finish, "doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
-    return out.withColumnRenamed("doc", id_col)
+    stored = materialize(joined.mapInArrow(_runs(splits, keep), "kind byte, doc long, part int, place long, mask long, blob binary"), "runs")
+    merged = stored.filter("kind = 2").select("part", "blob").repartition(tasks, "part").mapInArrow(_merged, "doc long, lo long, hi long")
+    settled = stored.filter("kind = 3").select("doc", F.col("place").alias("lo"), F.col("mask").alias("hi"))
+    spans = materialize(merged.union(settled), "spans")
+    spans = spans.groupBy("doc").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    some = stored.filter("kind = 1").select("doc", "blob").join(spans, "doc", "left").mapInArrow(_finish, "doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    none = F.lit(0).cast("long")
+    whole = stored.filter("kind = 0").select("doc", F.col("place").alias("n_bytes"), none.alias("n_removed"), none.alias("n_spans"), F.sha2("blob", 256).alias("kept_sha256") if keep else F.lower(F.hex("blob")).alias("kept_sha256"), F.col("blob").alias("kept"))
+    out = some.union(whole).withColumnRenamed("doc", id_col)
+    return out if keep else out.drop("kept")
