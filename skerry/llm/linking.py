@@ -1,23 +1,27 @@
 """Components of verified links among rows that share a bucket.
 
 A bucket's members are compared with its leader first; what is linked becomes
-one component.  Only buckets that then hold several components go on: their
-strays meet the leader once more, and what is still apart meets every member of
-another component.  Links inside a component need no check, so a bucket of n
-rows that are all alike costs n comparisons.  Every pair of a bucket is either
-inside one component or compared, so no link is lost.
+one component.  Only buckets that then hold several components go on: in each of
+a few rounds their strays meet other leaders, drawn by a hash, ``LEADERS`` of
+those that a stray's buckets offer.  What is still apart meets
+every member of another component that ``near`` allows.  Links inside a
+component need no check, so a bucket of n rows that are all alike costs a few n
+comparisons.  Every pair of a bucket is either inside one component or compared,
+so no link is lost.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.graph import components
 from ..scratch import materialize
 
+ROUNDS, LEADERS = 2, 3
+
 
 def shared_buckets(members: DataFrame) -> DataFrame:
     """``(band, id)`` rows -> those of bands with two ids or more, with the smallest as ``lead``; written out."""
@@ -25,25 +29,41 @@ def shared_buckets(members: DataFrame) -> DataFrame:
     return materialize(members.join(most, "band"), "bucket")
 
 
-def link_buckets(bucket: DataFrame, confirm: Callable[[DataFrame], DataFrame], links: DataFrame | None = None) -> DataFrame:
+def link_buckets(bucket: DataFrame, confirm: Callable[[DataFrame], DataFrame], info: DataFrame, near: Callable[[str, str], Column], links: DataFrame | None = None) -> DataFrame:
     """``(id, component)`` of every id with a link.
 
     ``bucket`` comes from ``shared_buckets``.  ``confirm`` takes ``(x, y)`` pairs
-    and returns the linked ones as ``(u, v)``.  ``links`` are links known before.
+    and returns the linked ones as ``(u, v)``.  ``info`` has one row an id; ``near``
+    gets two prefixes of its columns and says whether a pair could be linked.
+    ``links`` are links known before.
     """
+    of = lambda s: info.select(*[F.col(c).alias(f"{s}{c}") for c in info.columns])
+    allowed = near("x_", "y_")
+
+    def check(pairs: DataFrame) -> DataFrame:
+        fit = pairs.join(of("x_"), F.col("x") == F.col("x_id")).join(of("y_"), F.col("y") == F.col("y_id")).filter(allowed)
+        return confirm(fit.select("x", "y"))
+
     pairs = bucket.groupBy("id").agg(F.min("lead").alias("y")).filter("id <> y").select(F.col("id").alias("x"), "y")
-    found = confirm(pairs)
+    found = check(pairs)
     found = materialize(found if links is None else found.union(links), "link")
-    for last in (False, True):
+    for turn in range(ROUNDS + 1):
         label = materialize(components(found), "label")
         tagged = bucket.join(label, "id", "left").select("band", "id", F.coalesce("component", "id").alias("tag"))
-        open_ = tagged.groupBy("band").agg(F.min("tag").alias("lo"), F.max("tag").alias("hi"), F.min(F.struct("id", "tag")).alias("lead")).filter("lo <> hi").select("band", F.col("lead.id").alias("y"), F.col("lead.tag").alias("main"))
+        drawn = F.struct(F.xxhash64("id", "band", F.lit(turn)).alias("h"), "id", "tag")
+        open_ = tagged.groupBy("band").agg(F.min("tag").alias("lo"), F.max("tag").alias("hi"), F.min(drawn).alias("lead")).filter("lo <> hi").select("band", F.col("lead.id").alias("y"), F.col("lead.tag").alias("main"))
         mixed = materialize(tagged.join(open_, "band"), "mixed")
+        if mixed.isEmpty():
+            return label
+        bucket = mixed.select("band", "id")
         stray = mixed.filter("tag <> main")
-        if last:
-            a, b = stray.select("band", F.col("id").alias("x"), F.col("tag").alias("tx")), mixed.select("band", F.col("id").alias("y"), F.col("tag").alias("ty"), "main")
-            more = a.join(b, "band").filter("tx <> ty and (ty = main or y < x)").select("x", "y").distinct()
+        if turn < ROUNDS:
+            offers = stray.groupBy(F.col("id").alias("x")).agg(F.array_sort(F.collect_set(F.struct(F.xxhash64("id", "y").alias("h"), "y"))).alias("o"))  # as many as an id has bands
+            more = check(offers.select("x", F.explode(F.slice("o", 1, LEADERS)).alias("o")).select("x", "o.y"))
         else:
-            more = stray.select(F.col("id").alias("x"), "y").distinct()
-        found = materialize(found.union(confirm(more)), "link")
+            a = stray.select("band", F.col("id").alias("x"), F.col("tag").alias("tx")).join(of("x_"), F.col("x") == F.col("x_id"))
+            b = mixed.select(F.col("band").alias("__b"), F.col("id").alias("y"), F.col("tag").alias("ty"), "main").join(of("y_"), F.col("y") == F.col("y_id"))
+            apart = (F.col("tx") != F.col("ty")) & ((F.col("ty") == F.col("main")) | (F.col("y") < F.col("x")))
+            more = confirm(a.join(b, (F.col("band") == F.col("__b")) & apart & allowed).select("x", "y").distinct())
+        found = materialize(found.union(more), "link")
     return components(found)

@@ -9,8 +9,9 @@ two sets agree in a coordinate with the probability of their similarity, with
 concentration bounds as for independent hashes.
 
 Coordinates are banded; documents that share a band are candidates, and a link
-is confirmed on the full sets.  With 32 bands of 5, a pair at similarity 0.8
-shares none with a probability of 3e-6.
+is confirmed on the full sets.  A band is a fixed draw of 7 coordinates; of the
+48 bands a pair at similarity 0.8 shares none with a probability of about 2e-5,
+and one at 0.3 shares any with a probability of 0.01.
 
 Scale: equal sets collapse to one representative first.  A band's members are
 compared with its leader, linked ones become one component, and only members
@@ -27,20 +28,20 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..scratch import materialize
 from .linking import link_buckets, shared_buckets
 
-BANDS, ROWS = 32, 5
-SIZE = BANDS * ROWS
+BANDS, ROWS, SIZE = 48, 7, 256
+WORDS = SIZE // 64
 CACHE_WORDS = 300_000
 #: Differing one-bit coordinates above which a pair isn't confirmed on its sets:
-#: 5.8 standard deviations above what similarity 0.8 has.  Only for sets of more
+#: 6 standard deviations above what similarity 0.8 has.  Only for sets of more
 #: than FEW elements, whose coordinates are as good as independent.
-MAX_BITS_APART, FEW = 38, 64
+MAX_BITS_APART, FEW = 54, 64
 
 _M1, _M2, _GOLD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
@@ -52,6 +53,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+BAND_COORDINATES = np.stack([np.random.default_rng(k).permutation(SIZE)[:ROWS] for k in range(BANDS)])
 ROUND_KEYS = np.arange(1, 2 * SIZE + 1, dtype=np.uint64) * _GOLD
 
 
@@ -100,7 +102,7 @@ def sketch(elements: np.ndarray) -> np.ndarray:
 
 def sketches(df: DataFrame, words: int, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: set size, a 128-bit hash of the set, bands, and one bit of each coordinate."""
-    schema = T.StructType([T.StructField("id", T.LongType()), *[T.StructField(c, T.LongType()) for c in ("n", "h1", "h2")], T.StructField("bands", T.ArrayType(T.LongType())), *[T.StructField(c, T.LongType()) for c in ("b0", "b1", "b2")]])
+    schema = T.StructType([T.StructField("id", T.LongType()), *[T.StructField(c, T.LongType()) for c in ("n", "h1", "h2")], T.StructField("bands", T.ArrayType(T.LongType())), *[T.StructField(f"b{k}", T.LongType()) for k in range(WORDS)]])
     salt = mix(np.arange(1, BANDS + 1, dtype=np.uint64) * _GOLD)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,22 +116,20 @@ def sketches(df: DataFrame, words: int, id_col: str = "doc_id", text: str = "tex
                 if not len(s):
                     hashes.append((0, 0))
                     bands.append(np.empty(0, np.int64))
-                    bits.append(np.zeros(3, np.int64))
+                    bits.append(np.zeros(WORDS, np.int64))
                     continue
                 d = xxhash.xxh3_128_digest(s.tobytes())
                 hashes.append(np.frombuffer(d, np.int64))
                 c = sketch(s)
                 key = salt.copy()
                 for k in range(ROWS):
-                    key = mix(key * _GOLD + c.reshape(BANDS, ROWS)[:, k])
+                    key = mix(key * _GOLD + c[BAND_COORDINATES[:, k]])
                 bands.append(key.view(np.int64))
-                bit = np.zeros(192, np.uint8)
-                bit[:SIZE] = (mix(c) & np.uint64(1)).astype(np.uint8)
-                bits.append(np.packbits(bit).view(np.int64))
-            h, w = np.array(hashes, np.int64).reshape(-1, 2), np.array(bits, np.int64).reshape(-1, 3)
+                bits.append(np.packbits((mix(c) & np.uint64(1)).astype(np.uint8)).view(np.int64))
+            h, w = np.array(hashes, np.int64).reshape(-1, 2), np.array(bits, np.int64).reshape(-1, WORDS)
             flat = np.concatenate(bands) if bands else np.empty(0, np.int64)
             at = np.concatenate([[0], np.cumsum([len(x) for x in bands])]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(h[:, 0]), pa.array(h[:, 1]), pa.ListArray.from_arrays(pa.array(at), pa.array(flat)), *[pa.array(w[:, k]) for k in range(3)]], names=schema.names)
+            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(h[:, 0]), pa.array(h[:, 1]), pa.ListArray.from_arrays(pa.array(at), pa.array(flat)), *[pa.array(w[:, k]) for k in range(WORDS)]], names=schema.names)
 
     return df.select(F.col(id_col).cast("long"), text).mapInArrow(run, schema)
 
@@ -154,12 +154,20 @@ def _alike(percent: int):
     return 100 * both >= percent * (F.size("sx") + F.size("sy") - both)
 
 
-def _fit(info: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose set sizes and coordinate bits allow a link."""
-    one = lambda s: info.select(F.col("id").alias(s), F.col("n").alias(f"n{s}"), *[F.col(f"b{k}").alias(f"{s}{k}") for k in range(3)])
-    apart = sum((F.bit_count(F.col(f"x{k}").bitwiseXOR(F.col(f"y{k}"))) for k in range(3)), F.lit(0))
-    small, large = F.least("nx", "ny"), F.greatest("nx", "ny")
-    return pairs.join(one("x"), "x").join(one("y"), "y").filter((100 * small >= percent * large) & ((small <= FEW) | (apart <= MAX_BITS_APART))).select("x", "y")
+def _near(percent: int):
+    """Whether set sizes, shingles that occur in one set only, and coordinate bits allow a link.
+
+    Of a set's shingles ``own`` occur in no other candidate, so no intersection
+    can be larger than what the smaller rest of the two sets leaves.
+    """
+
+    def allowed(x: str, y: str) -> Column:
+        small, large = F.least(f"{x}n", f"{y}n"), F.greatest(f"{x}n", f"{y}n")
+        apart = sum((F.bit_count(F.col(f"{x}b{k}").bitwiseXOR(F.col(f"{y}b{k}"))) for k in range(WORDS)), F.lit(0))
+        both = F.least(F.col(f"{x}n") - F.col(f"{x}own"), F.col(f"{y}n") - F.col(f"{y}own"))
+        return (100 * small >= percent * large) & (100 * both >= percent * (small + large - both)) & ((small <= FEW) | (apart <= MAX_BITS_APART))
+
+    return allowed
 
 
 def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -186,11 +194,13 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, id_col: st
     sets = materialize(shingle_sets(df.join(near.select(F.col("id").alias(id_col)), id_col, "left_semi").dropDuplicates([id_col]), words, id_col, text), "sets")
 
     def confirm(pairs: DataFrame) -> DataFrame:
-        fit = _fit(info, pairs, percent)
         side = lambda s: sets.select(F.col("id").alias(s), F.col("set").alias(f"s{s}"))
-        return fit.join(side("x"), "x").join(side("y"), "y").filter(_alike(percent)).select(F.col("x").alias("u"), F.col("y").alias("v"))
+        return pairs.join(side("x"), "x").join(side("y"), "y").filter(_alike(percent)).select(F.col("x").alias("u"), F.col("y").alias("v"))
 
-    label = link_buckets(bucket, confirm, same)
+    once = sets.select("id", F.explode("set").alias("s")).groupBy("s").agg(F.count("*").alias("c"), F.min("id").alias("id")).filter("c = 1")
+    own = once.groupBy("id").agg(F.count("*").alias("own"))
+    info = materialize(info.drop("bands", "h1", "h2").join(near, "id", "left_semi").join(own, "id", "left").withColumn("own", F.coalesce("own", F.lit(0))), "info")
+    label = link_buckets(bucket, confirm, info, _near(percent), same)
     found = member.join(label.select(F.col("id").alias("rep"), "component"), "rep", "left").select("id", "n", F.coalesce("component", "rep").alias("component_id"))
     alone = known.filter("not (n > 0 and id is not null)").select("id", "n", F.col("id").alias("component_id"))
     return found.union(alone).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
