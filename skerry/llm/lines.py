@@ -7,7 +7,15 @@ been edited from, the few substrings that the multi-match-aware bound leaves.
 Segments and probes are hashed with their length and number; lines that share
 a hash are candidates, and a banded bit-parallel edit distance decides.
 
-Edits are of UTF-8 bytes.  Lines shorter than ``min_bytes`` are never touched:
+Edits are of characters.  With ``rate``, edits of whole words count too, and
+their number grows with the length: ``word_edits`` of the shorter line.  Where
+that is one, the words of a line go through the same segments and probes.  From
+two on, the shorter line keeps a run of ``_run`` untouched words at least, and
+the smallest hash of ``SHINGLE`` words of each such run is a key of both lines;
+their number is in proportion to the line and no link is lost.  Each letter of a
+script without spaces is a word.
+
+Lines shorter than ``min_bytes`` are never touched:
 they are no evidence of copying.  Of each class of linked lines the first
 occurrence stays (smallest document, then smallest line); the others go.
 
@@ -19,6 +27,7 @@ identified by a 64-bit hash.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,12 +40,14 @@ from ..scratch import materialize
 from .linking import link_buckets, shared_buckets
 
 EDITS, MIN_BYTES = 2, 32
+#: Words of a line that may have one edit, and of a hashed run of words.
+MIN_WORDS, SHINGLE = 8, 5
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so powers never vanish modulo 2**64
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
-def edit_distance(a: bytes, b: bytes, most: int) -> int:
-    """Edits between two strings, or ``most + 1`` if there are more.
+def edit_distance(a: bytes | str | tuple, b: bytes | str | tuple, most: int) -> int:
+    """Edits between two sequences, or ``most + 1`` if there are more.
 
     Common ends are cut off; the rest runs column by column over a band of
     ``2 * most + 1`` rows around the diagonal, held as bits of two integers (up
@@ -62,7 +73,7 @@ def edit_distance(a: bytes, b: bytes, most: int) -> int:
         return len(b)
     m, n, k = len(a), len(b), most
     # Row i of the table is bit i - (j - k) of column j; rows above 1 never match.
-    match: dict[int, int] = {}
+    match: dict[int | str, int] = {}
     for i, c in enumerate(a):
         match[c] = match.get(c, 0) | 1 << (i + k)
     full = (1 << (2 * k + 1)) - 1
@@ -108,11 +119,18 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def keys(lines: list[bytes], edits: int) -> tuple[np.ndarray, np.ndarray]:
+def keys(lines: list[bytes] | list[str], edits: int) -> tuple[np.ndarray, np.ndarray]:
     """``(line number, key)`` of every segment and probe of the lines, as two arrays."""
     size = np.array([len(x) for x in lines], np.int64)
-    at = np.concatenate([[0], np.cumsum(size)])[:-1]
-    flat = np.frombuffer(b"".join(lines), np.uint8).astype(np.uint64) + np.uint64(1)
+    text = lines and isinstance(lines[0], str)
+    flat = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32) if text else np.frombuffer(b"".join(lines), np.uint8)
+    return _keys(flat, size, edits)
+
+
+def _keys(flat: np.ndarray, size: np.ndarray, edits: int) -> tuple[np.ndarray, np.ndarray]:
+    """``keys`` of sequences of numbers, one after another in ``flat``."""
+    at = np.concatenate([[0], np.cumsum(size)])[:-1].astype(np.int64)
+    flat = flat.astype(np.uint64) + np.uint64(1)
     longest = int(size.max(initial=0)) + 1
     power = np.concatenate([[np.uint64(1)], np.cumprod(np.full(longest, _BASE))])
     # prefix[i + 1] = prefix[i] * BASE + byte, restarted by differences of a running sum over inverse powers
@@ -125,7 +143,7 @@ def keys(lines: list[bytes], edits: int) -> tuple[np.ndarray, np.ndarray]:
         n = len(part)
         prefix[i + 1 : i + n + 1] = (np.cumsum(part * down[1 : n + 1]) + prefix[i]) * upw[1 : n + 1]
     rows, found = [], []
-    number = np.arange(len(lines))
+    number = np.arange(len(size))
     parts = edits + 1
 
     def put(who: np.ndarray, k: int, length: np.ndarray, start: np.ndarray, wide: np.ndarray) -> None:
@@ -150,6 +168,72 @@ def keys(lines: list[bytes], edits: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(found)
 
 
+def word_edits(words: int, rate: int) -> int:
+    """Word edits that a line of so many words may have: one from ``MIN_WORDS`` on, more with each ``rate`` words."""
+    return max(1, words // rate) if words >= MIN_WORDS else 0
+
+
+def _run(times: int, rate: int) -> int:
+    """Words in a row that ``word_edits`` leave in a line of ``times * rate`` words or more."""
+    return -(-times * (rate - 1) // (times + 1))
+
+
+_LETTER = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_WORDS = re.compile(f"[{_LETTER}]|[^\\s{_LETTER}]+")
+
+
+def line_words(line: bytes) -> list:
+    """The words of a line; each letter of a script without spaces is one."""
+    return line.split() if line.isascii() else [w.encode() for w in _WORDS.findall(line.decode())]
+
+
+class _Hasher:
+    """64-bit hashes of the words of lines, one after another, and the number of each line."""
+
+    def __init__(self):
+        self.known: dict[bytes, int] = {}
+
+    def __call__(self, lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        known, size, flat = self.known, [], []
+        for x in lines:
+            parts = line_words(x)
+            size.append(len(parts))
+            for w in parts:
+                if w not in known:
+                    known[w] = xxhash.xxh3_64_intdigest(w)
+            flat.extend(map(known.__getitem__, parts))
+            if len(known) > 300_000:
+                known.clear()
+        return np.array(flat, np.uint64), np.array(size, np.int64)
+
+
+def word_keys(flat: np.ndarray, size: np.ndarray, rate: int) -> tuple[np.ndarray, np.ndarray]:
+    """``(line number, key)`` such that lines within ``word_edits`` of the shorter one share a key."""
+    number, owner = np.arange(len(size)), np.repeat(np.arange(len(size)), size)
+    few = (size >= MIN_WORDS) & (size <= 2 * rate)  # the shorter line has one edit
+    row, key = _keys(flat[few[owner]], size[few], 1)
+    rows, found = [number[few][row]], [_mix(key ^ _M1)]
+    # Lines of 2 * rate to 3 * rate words, which keep shorter runs, and those of more; an other line can be longer by the edits.
+    for times, least, most in ((2, 2 * rate, 3 * rate + 1), (3, 3 * rate, None)):
+        run = _run(times, rate)
+        some = (size >= least) & (size <= most if most else True)
+        h, who = flat[some[owner]], owner[some[owner]]
+        if len(h) < run:
+            continue
+        n = len(h) - SHINGLE + 1
+        shingle = np.full(n, times, np.uint64)
+        for k in range(SHINGLE):
+            shingle = _mix(shingle * _BASE + h[k : k + n])
+        low = np.lib.stride_tricks.sliding_window_view(shingle, run - SHINGLE + 1).min(axis=1)
+        inside = who[: len(low)] == who[run - 1 : run - 1 + len(low)]
+        low, who = low[inside], who[: len(low)][inside]
+        new = np.ones(len(low), bool)
+        new[1:] = (low[1:] != low[:-1]) | (who[1:] != who[:-1])
+        rows.append(who[new])
+        found.append(low[new])
+    return np.concatenate(rows), np.concatenate(found)
+
+
 def _split(text: str | None) -> list[bytes]:
     return [] if text is None else text.encode().split(b"\n")
 
@@ -191,47 +275,78 @@ def _distinct(batches: Iterator[pa.RecordBatch], min_bytes: int, column: int, li
         yield part
 
 
-def _members(df: DataFrame, text: str, min_bytes: int, edits: int) -> DataFrame:
+def _members(df: DataFrame, text: str, min_bytes: int, edits: int, rate: int | None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashed = _Hasher()
         for part in _distinct(batches, min_bytes, 0):
-            row, key = keys(list(part.values()), edits)
+            row, key = keys([x.decode() for x in part.values()], edits)
+            if rate:
+                more = word_keys(*hashed(list(part.values())), rate)
+                row, key = np.concatenate([row, more[0]]), np.concatenate([key, more[1]])
             ids = np.array(list(part), np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(ids[row])], names=["band", "id"])
 
     return df.select(text).mapInArrow(run, "band long, id long")
 
 
-def parities(line: bytes) -> tuple[int, int]:
-    """Whether bytes and byte pairs occur an odd number of times, in 64 classes each.
+def parities(line: str) -> tuple[int, int]:
+    """Whether characters and pairs of them occur an odd number of times, in 64 classes each.
 
-    One edit changes at most two classes of bytes and four of pairs, which bounds
-    the edits between two lines from below.
+    One edit changes at most two classes of characters and four of pairs, which
+    bounds the edits between two lines from below.
     """
-    a = np.frombuffer(line, np.uint8).astype(np.int64)
+    a = np.frombuffer(line.encode("utf-32-le"), np.uint32).astype(np.int64)
     one = np.bincount(a & 63, minlength=64) & 1
     two = np.bincount((a[:-1] * 31 + a[1:] * 17) & 63, minlength=64) & 1
     return tuple(int(np.packbits(x.astype(np.uint8)).view(np.int64)[0]) for x in (one, two))
 
 
-def _texts(df: DataFrame, text: str, min_bytes: int) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in _distinct(batches, min_bytes, 0):
-            odd = [parities(x) for x in part.values()]
-            yield pa.RecordBatch.from_arrays([pa.array(list(part), pa.int64()), pa.array(list(part.values()), pa.binary()), *[pa.array([o[k] for o in odd], pa.int64()) for k in range(2)]], names=["id", "bytes", "p1", "p2"])
+def word_parities(flat: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether words occur an odd number of times, in 128 classes: two numbers a line; an edit changes two classes at most."""
+    cell = np.repeat(np.arange(len(size)), size) * 128 + (flat >> np.uint64(57)).astype(np.int64)
+    odd = np.bincount(cell, minlength=128 * len(size)).reshape(-1, 128) & 1
+    return np.packbits(odd.astype(np.uint8), axis=1).view(np.int64)
 
-    return df.select(text).mapInArrow(run, "id long, bytes binary, p1 long, p2 long")
 
+def _texts(df: DataFrame, text: str, min_bytes: int, rate: int | None) -> DataFrame:
+    """Distinct lines with what bounds their edits: ``n`` characters, ``w`` words, ``t`` word edits, and parities."""
 
-def _near(pairs: DataFrame, edits: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashed = _Hasher()
+        for part in _distinct(batches, min_bytes, 0):
+            lines = list(part.values())
+            texts = [x.decode() for x in lines]
+            odd = np.array([parities(x) for x in texts], np.int64)
+            flat, size = hashed(lines) if rate else (np.empty(0, np.uint64), np.zeros(len(lines), np.int64))
+            words = word_parities(flat, size)
+            most = [word_edits(x, rate) if rate else 0 for x in size.tolist()]
+            sizes = [pa.array([len(x) for x in texts], pa.int32()), pa.array(size, pa.int32()), pa.array(most, pa.int32())]
+            yield pa.RecordBatch.from_arrays([pa.array(list(part), pa.int64()), pa.array(lines, pa.binary()), *sizes, *[pa.array(x) for x in (*odd.T, *words.T)]], names=["id", "bytes", "n", "w", "t", "p1", "p2", "p3", "p4"])
+
+    return df.select(text).mapInArrow(run, "id long, bytes binary, n int, w int, t int, p1 long, p2 long, p3 long, p4 long")
+
+
+def linked(a: bytes, b: bytes, edits: int, rate: int | None = None) -> bool:
+    """Whether two lines are within ``edits`` edits of characters or, with ``rate``, the shorter one's edits of words."""
+    if edit_distance(a.decode(), b.decode(), edits) <= edits:
+        return True
+    if not rate:
+        return False
+    x, y = tuple(line_words(a)), tuple(line_words(b))
+    most = word_edits(min(len(x), len(y)), rate)
+    return most > 0 and edit_distance(x, y, most) <= most
+
+
+def _near(pairs: DataFrame, edits: int, rate: int | None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keep = [edit_distance(x.as_py(), y.as_py(), edits) <= edits for x, y in zip(b.column(2), b.column(3), strict=True)]
+            keep = [linked(x.as_py(), y.as_py(), edits, rate) for x, y in zip(b.column(2), b.column(3), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
     return pairs.select("x", "y", "tx", "ty").mapInArrow(run, "u long, v long")
 
 
-def line_classes(df: DataFrame, edits: int = EDITS, min_bytes: int = MIN_BYTES, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def line_classes(df: DataFrame, edits: int = EDITS, min_bytes: int = MIN_BYTES, id_col: str = "doc_id", text: str = "text", rate: int | None = None) -> DataFrame:
     """``(doc, line, id, component, first)`` of every line that is long enough.
 
     ``component`` is the class of linked lines, ``first`` whether this is the
@@ -239,28 +354,34 @@ def line_classes(df: DataFrame, edits: int = EDITS, min_bytes: int = MIN_BYTES,
     """
     if min_bytes < 2 * edits + 1:
         raise ValueError("lines must be longer than twice the edits")
+    if rate is not None and _run(2, rate) < SHINGLE:
+        raise ValueError("too many word edits for their length")
     where = materialize(_occurrences(df, id_col, text, min_bytes), "lines")
     with_id = df.filter(F.col(id_col).isNotNull())
-    bucket = shared_buckets(_members(with_id, text, min_bytes, edits))
+    bucket = shared_buckets(_members(with_id, text, min_bytes, edits, rate))
     some = bucket.select("id").distinct()
-    texts = materialize(_texts(with_id, text, min_bytes).join(some, "id", "left_semi").dropDuplicates(["id"]), "linetext")
+    texts = materialize(_texts(with_id, text, min_bytes, rate).join(some, "id", "left_semi").dropDuplicates(["id"]), "linetext")
 
     def confirm(pairs: DataFrame) -> DataFrame:
         side = lambda s: texts.select(F.col("id").alias(s), F.col("bytes").alias(f"t{s}"))
-        return _near(pairs.join(side("x"), "x").join(side("y"), "y"), edits)
+        return _near(pairs.join(side("x"), "x").join(side("y"), "y"), edits, rate)
 
     def near(x: str, y: str) -> Column:
         flips = lambda c: F.bit_count(F.col(f"{x}{c}").bitwiseXOR(F.col(f"{y}{c}")))
-        return (F.abs(F.col(f"{x}n") - F.col(f"{y}n")) <= edits) & (flips("p1") <= 2 * edits) & (flips("p2") <= 4 * edits)
+        letters = (F.abs(F.col(f"{x}n") - F.col(f"{y}n")) <= edits) & (flips("p1") <= 2 * edits) & (flips("p2") <= 4 * edits)
+        if not rate:
+            return letters
+        most = F.least(f"{x}t", f"{y}t")
+        return letters | ((most > 0) & (F.abs(F.col(f"{x}w") - F.col(f"{y}w")) <= most) & (flips("p3") + flips("p4") <= 2 * most))
 
-    label = link_buckets(bucket, confirm, texts.select("id", F.octet_length("bytes").alias("n"), "p1", "p2"), near)
+    label = link_buckets(bucket, confirm, texts.drop("bytes"), near)
     tagged = where.join(label, "id", "left").select("doc", "line", "id", F.coalesce("component", "id").alias("component"))
     tagged = materialize(tagged, "tagged")
     first = tagged.groupBy("component").agg(F.min(F.struct("doc", "line")).alias("f"))
     return tagged.join(first, "component").select("doc", "line", "id", "component", (F.struct("doc", "line") == F.col("f")).alias("first"))
 
 
-def dedup_lines(df: DataFrame, edits: int = EDITS, min_bytes: int = MIN_BYTES, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def dedup_lines(df: DataFrame, edits: int = EDITS, min_bytes: int = MIN_BYTES, id_col: str = "doc_id", text: str = "text", rate: int | None = None) -> DataFrame:
     """``df`` with ``text`` cut to the lines that stay; adds ``n_lines`` and ``n_removed``.
 
     Null texts stay null (no lines), as do rows with a null id, which are left
@@ -268,7 +389,7 @@ def dedup_lines(df: DataFrame, edits: int = EDITS, min_bytes: int = MIN_BYTES, i
     lose the same line numbers.  An empty table stays empty; columns named like
     the new ones are replaced.
     """
-    gone = line_classes(df, edits, min_bytes, id_col, text).filter(~F.col("first")).groupBy(F.col("doc").alias("__doc")).agg(F.collect_set("line").alias("__gone"))
+    gone = line_classes(df, edits, min_bytes, id_col, text, rate).filter(~F.col("first")).groupBy(F.col("doc").alias("__doc")).agg(F.collect_set("line").alias("__gone"))
     df = df.drop("n_lines", "n_removed")
     out = df.join(gone, F.col(id_col) == F.col("__doc"), "left")
     lines = F.split(text, "\n", -1)

@@ -145,6 +145,33 @@ def test_line_dedup_of_nothing(spark, none):
     assert [r["n_removed"] for r in lines.dedup_lines(df).collect()] == [0, 0]
 
 
+def test_lines_with_changed_words_by_force(spark):
+    rnd = random.Random(8)
+    letters = [chr(0x4E00 + k) for k in range(400)]
+    base = [([f"word{rnd.randint(0, 300)}" for _ in range(n)], " ") for n in (8, 9, 15, 20, 31, 32, 33, 40, 48, 49, 60, 90, 200)] + [([rnd.choice(letters) for _ in range(n)], "") for n in (12, 40)]
+    made = []
+    for _ in range(160):
+        w, gap = rnd.choice(base)
+        w = list(w)
+        for _ in range(rnd.randint(0, 1 + len(w) // 16)):
+            i, op = rnd.randrange(len(w)), rnd.randint(0, 2)
+            w[i : i + (op > 0)] = [rnd.choice(letters) if not gap else f"another{rnd.randint(0, 99)}"] if op < 2 else []
+        made.append((tuple(w), gap.join(w)))
+    made = [m for m in made if len(m[1].encode()) >= 32]
+    parent, find = union_find(len(made))
+    for i, (a, x) in enumerate(made):
+        for j, (b, y) in enumerate(made[:i]):
+            n = min(len(a), len(b))
+            most = max(1, n // 16) if n >= 8 else 0
+            if x == y or (abs(len(a) - len(b)) <= most and distance(a, b) <= most) or (abs(len(x) - len(y)) <= 2 and lines.edit_distance(x, y, 2) <= 2):
+                p, q = find(i), find(j)
+                parent[max(p, q)] = min(p, q)
+    df = spark.createDataFrame([(k, x) for k, (_, x) in enumerate(made)], "doc_id long, text string")
+    got = {r["doc_id"]: r["n_removed"] for r in lines.dedup_lines(df, rate=16).collect()}
+    assert got == {k: int(find(k) != k) for k in range(len(made))}
+    assert sum(got.values()) > sum(r["n_removed"] for r in lines.dedup_lines(df).collect())
+
+
 def test_loser_tree_sorts_and_knows_prefixes():
     rnd = random.Random(5)
     for _ in range(150):
