@@ -29,11 +29,12 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that (nearly) repeat an earlier one.
 
-    Of repeated lines of 32 bytes or more the first occurrence stays; nearly is
+    Of repeated lines that hold a word the first occurrence stays.  Lines of 32
+    bytes or more also repeat nearly:
     within two edits of letters, or one of words for each 16.  A document
     that loses every word this way goes; one that had none before stays.
     """
-    out = lines.dedup_lines(docs, edits=2, min_bytes=32, rate=16)
+    out = lines.dedup_lines(docs, edits=2, min_bytes=32, rate=16, short=True)
     emptied = (F.col("n_removed") > 0) & ~F.col("text").rlike("[^\\x20\\x09-\\x0D]")
     return out.filter(~F.coalesce(emptied, F.lit(False))).withColumn("n_chars", F.length("text").cast("long")).select(COLUMNS)
 

@@ -15,8 +15,9 @@ the smallest hash of ``SHINGLE`` words of each such run is a key of both lines;
 their number is in proportion to the line and no link is lost.  Each letter of a
 script without spaces is a word.
 
-Lines shorter than ``min_bytes`` are never touched:
-they are no evidence of copying.  Of each class of linked lines the first
+Lines shorter than ``min_bytes`` never join by edits: so
+few letters are no evidence of copying.  With ``short`` their exact repeats form
+classes if they hold a word; blank lines and rules always stay.  Of each class of linked lines the first
 occurrence stays (smallest document, then smallest line); the others go.
 
 Scale: equal lines are one row from the first map on; all segment hashes of a
@@ -242,15 +243,23 @@ def _id(line: bytes) -> int:
     return xxhash.xxh3_64_intdigest(line) - (1 << 63)
 
 
-def _occurrences(df: DataFrame, id_col: str, text: str, min_bytes: int) -> DataFrame:
-    """``(doc, line, id)`` of every line that is long enough."""
+_WORD = re.compile("[^\\W_]")
+
+
+def holds_word(line: bytes) -> bool:
+    """Whether a line has a letter or a digit."""
+    return _WORD.search(line.decode()) is not None
+
+
+def _occurrences(df: DataFrame, id_col: str, text: str, min_bytes: int, short: bool) -> DataFrame:
+    """``(doc, line, id)`` of every line that is long enough or, with ``short``, holds a word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             docs, nums, ids = [], [], []
             for d, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 for k, x in enumerate(_split(t.as_py())):
-                    if len(x) >= min_bytes:
+                    if len(x) >= min_bytes or short and holds_word(x):
                         docs.append(d)
                         nums.append(k)
                         ids.append(_id(x))
@@ -346,8 +355,8 @@ def _near(pairs: DataFrame, edits: int, rate: int | None) -> DataFrame:
     return pairs.select("x", "y", "tx", "ty").mapInArrow(run, "u long, v long")
 
 
-def line_classes(df: DataFrame, edits: int = EDITS, min_bytes: int = MIN_BYTES, id_col: str = "doc_id", text: str = "text", rate: int | None = None) -> DataFrame:
-    """``(doc, line, id, component, first)`` of every line that is long enough.
+def line_classes(df: DataFrame, edits: int = EDITS, min_bytes: int = MIN_BYTES, id_col: str = "doc_id", text: str = "text", rate: int | None = None, short: bool = False) -> DataFrame:
+    """``(doc, line, id, component, first)`` of every line that is long enough or, with ``short``, holds a word.
 
     ``component`` is the class of linked lines, ``first`` whether this is the
     occurrence that stays.  Null texts and null ids have no lines here.
@@ -356,7 +365,7 @@ def line_classes(df: DataFrame, edits: int = EDITS, min_bytes: int = MIN_BYTES,
         raise ValueError("lines must be longer than twice the edits")
     if rate is not None and _run(2, rate) < SHINGLE:
         raise ValueError("too many word edits for their length")
-    where = materialize(_occurrences(df, id_col, text, min_bytes), "lines")
+    where = materialize(_occurrences(df, id_col, text, min_bytes, short), "lines")
     with_id = df.filter(F.col(id_col).isNotNull())
     bucket = shared_buckets(_members(with_id, text, min_bytes, edits, rate))
     some = bucket.select("id").distinct()
@@ -381,7 +390,7 @@ def line_classes(df: DataFrame, edits: int = EDITS, min_bytes: int = MIN_BYTES,
     return tagged.join(first, "component").select("doc", "line", "id", "component", (F.struct("doc", "line") == F.col("f")).alias("first"))
 
 
-def dedup_lines(df: DataFrame, edits: int = EDITS, min_bytes: int = MIN_BYTES, id_col: str = "doc_id", text: str = "text", rate: int | None = None) -> DataFrame:
+def dedup_lines(df: DataFrame, edits: int = EDITS, min_bytes: int = MIN_BYTES, id_col: str = "doc_id", text: str = "text", rate: int | None = None, short: bool = False) -> DataFrame:
     """``df`` with ``text`` cut to the lines that stay; adds ``n_lines`` and ``n_removed``.
 
     Null texts stay null (no lines), as do rows with a null id, which are left
@@ -389,7 +398,7 @@ def dedup_lines(df: DataFrame, edits: int = EDITS, min_bytes: int = MIN_BYTES, i
     lose the same line numbers.  An empty table stays empty; columns named like
     the new ones are replaced.
     """
-    gone = line_classes(df, edits, min_bytes, id_col, text, rate).filter(~F.col("first")).groupBy(F.col("doc").alias("__doc")).agg(F.collect_set("line").alias("__gone"))
+    gone = line_classes(df, edits, min_bytes, id_col, text, rate, short).filter(~F.col("first")).groupBy(F.col("doc").alias("__doc")).agg(F.collect_set("line").alias("__gone"))
     df = df.drop("n_lines", "n_removed")
     out = df.join(gone, F.col(id_col) == F.col("__doc"), "left")
     lines = F.split(text, "\n", -1)

@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pytest
 
-from skerry.llm import lines, minhash, suffixes
+from skerry.llm import lines, minhash, queries, suffixes
 
 
 def union_find(n):
@@ -172,6 +172,14 @@ def test_lines_with_changed_words_by_force(spark):
     assert sum(got.values()) > sum(r["n_removed"] for r in lines.dedup_lines(df).collect())
 
 
+def test_short_lines_that_hold_a_word_repeat_exactly(spark):
+    texts = ["All rights reserved.\n\n---\none", "All rights reserved.\n\n---\ntwo", "All rights reserved!\n§ 1\nДа\none", "Да\n§ 1\n___\n§"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in lines.dedup_lines(df, short=True).collect()}
+    assert got == {0: texts[0], 1: "\n---\ntwo", 2: "All rights reserved!\n§ 1\nДа", 3: "___\n§"}
+    assert queries.QUERIES["op5_segment_line_dedup"](spark, "/root/testdata/sf0.001").agg({"n_removed": "sum"}).first()[0] > lines.dedup_lines(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), rate=16).agg({"n_removed": "sum"}).first()[0]
+
+
 def test_loser_tree_sorts_and_knows_prefixes():
     rnd = random.Random(5)
     for _ in range(150):
