@@ -30,6 +30,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +45,8 @@ from .linking import link_buckets, shared_buckets
 EDITS, MIN_BYTES = 2, 32
 #: Words of a line that may have one edit, and of a hashed run of words.
 MIN_WORDS, SHINGLE = 8, 5
+#: Passes over the keys where words have some too: the disk for one pass's keys is needed at a time.
+PASSES = 2
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so powers never vanish modulo 2**64
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -195,17 +199,13 @@ class _Hasher:
         self.known: dict[bytes, int] = {}
 
     def __call__(self, lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        known, size, flat = self.known, [], []
-        for x in lines:
-            parts = line_words(x)
-            size.append(len(parts))
-            for w in parts:
-                if w not in known:
-                    known[w] = xxhash.xxh3_64_intdigest(w)
-            flat.extend(map(known.__getitem__, parts))
-            if len(known) > 300_000:
-                known.clear()
-        return np.array(flat, np.uint64), np.array(size, np.int64)
+        known, parts = self.known, [line_words(x) for x in lines]
+        flat = list(chain.from_iterable(parts))
+        if len(known) > 300_000:
+            known.clear()
+        for w in set(flat).difference(known):
+            known[w] = xxhash.xxh3_64_intdigest(w)
+        return np.fromiter(map(known.__getitem__, flat), np.uint64, len(flat)), np.fromiter(map(len, parts), np.int64, len(parts))
 
 
 def word_keys(flat: np.ndarray, size: np.ndarray, rate: int) -> tuple[np.ndarray, np.ndarray]:
@@ -225,7 +225,10 @@ def word_keys(flat: np.ndarray, size: np.ndarray, rate: int) -> tuple[np.ndarray
         shingle = np.full(n, times, np.uint64)
         for k in range(SHINGLE):
             shingle = _mix(shingle * _BASE + h[k : k + n])
-        low = np.lib.stride_tricks.sliding_window_view(shingle, run - SHINGLE + 1).min(axis=1)
+        low, wide, window = shingle, 1, run - SHINGLE + 1
+        while wide < window:  # minima of windows by doubling
+            step = min(wide, window - wide)
+            low, wide = np.minimum(low[step:], low[:-step]), wide + step
         inside = who[: len(low)] == who[run - 1 : run - 1 + len(low)]
         low, who = low[inside], who[: len(low)][inside]
         new = np.ones(len(low), bool)
@@ -284,37 +287,52 @@ def _distinct(batches: Iterator[pa.RecordBatch], min_bytes: int, column: int, li
         yield part
 
 
-def _members(df: DataFrame, text: str, min_bytes: int, edits: int, rate: int | None) -> DataFrame:
+def _members(df: DataFrame, text: str, min_bytes: int, edits: int, rate: int | None, turn: int, turns: int) -> DataFrame:
+    """``(band, id)`` of the keys that are ``turn`` modulo ``turns``."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashed = _Hasher()
         for part in _distinct(batches, min_bytes, 0):
-            row, key = keys([x.decode() for x in part.values()], edits)
+            ids, lines = np.array(list(part), np.int64), list(part.values())
             if rate:
-                more = word_keys(*hashed(list(part.values())), rate)
-                row, key = np.concatenate([row, more[0]]), np.concatenate([key, more[1]])
-            ids = np.array(list(part), np.int64)
+                flat, size = hashed(lines)
+                row, key = word_keys(flat, size, rate)
+                # An edit of a letter is three of words at most (it can split one), so that long lines have links by words alone.
+                few = np.flatnonzero(size < rate * 3 * edits + 3 * edits)
+                more = keys([lines[k].decode() for k in few], edits)
+                row, key = np.concatenate([row, few[more[0]]]), np.concatenate([key, more[1]])
+            else:
+                row, key = keys([x.decode() for x in lines], edits)
+            if turns > 1:
+                mine = key % np.uint64(turns) == turn
+                row, key = row[mine], key[mine]
             yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(ids[row])], names=["band", "id"])
 
     return df.select(text).mapInArrow(run, "band long, id long")
 
 
-def parities(line: str) -> tuple[int, int]:
-    """Whether characters and pairs of them occur an odd number of times, in 64 classes each.
+def _odd(cell: np.ndarray, owner: np.ndarray, lines: int, wide: int) -> np.ndarray:
+    """Whether each of ``wide`` classes occurs an odd number of times in a line, as bits of ``wide // 64`` numbers."""
+    odd = np.bincount(owner * wide + cell, minlength=wide * lines).reshape(lines, wide) & 1
+    return np.packbits(odd.astype(np.uint8), axis=1).view(np.int64)
+
+
+def parities(lines: list[str]) -> np.ndarray:
+    """Whether characters and pairs of them occur an odd number of times, in 64 classes each; one row a line.
 
     One edit changes at most two classes of characters and four of pairs, which
     bounds the edits between two lines from below.
     """
-    a = np.frombuffer(line.encode("utf-32-le"), np.uint32).astype(np.int64)
-    one = np.bincount(a & 63, minlength=64) & 1
-    two = np.bincount((a[:-1] * 31 + a[1:] * 17) & 63, minlength=64) & 1
-    return tuple(int(np.packbits(x.astype(np.uint8)).view(np.int64)[0]) for x in (one, two))
+    a = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32).astype(np.int64)
+    owner = np.repeat(np.arange(len(lines)), [len(x) for x in lines])
+    inside = owner[1:] == owner[:-1]
+    pair = (a[:-1] * 31 + a[1:] * 17) & 63
+    return np.concatenate([_odd(a & 63, owner, len(lines), 64), _odd(pair[inside], owner[1:][inside], len(lines), 64)], axis=1)
 
 
 def word_parities(flat: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Whether words occur an odd number of times, in 128 classes: two numbers a line; an edit changes two classes at most."""
-    cell = np.repeat(np.arange(len(size)), size) * 128 + (flat >> np.uint64(57)).astype(np.int64)
-    odd = np.bincount(cell, minlength=128 * len(size)).reshape(-1, 128) & 1
-    return np.packbits(odd.astype(np.uint8), axis=1).view(np.int64)
+    return _odd((flat >> np.uint64(57)).astype(np.int64), np.repeat(np.arange(len(size)), size), len(size), 128)
 
 
 def _texts(df: DataFrame, text: str, min_bytes: int, rate: int | None) -> DataFrame:
@@ -325,7 +343,7 @@ def _texts(df: DataFrame, text: str, min_bytes: int, rate: int | None) -> DataFr
         for part in _distinct(batches, min_bytes, 0):
             lines = list(part.values())
             texts = [x.decode() for x in lines]
-            odd = np.array([parities(x) for x in texts], np.int64)
+            odd = parities(texts)
             flat, size = hashed(lines) if rate else (np.empty(0, np.uint64), np.zeros(len(lines), np.int64))
             words = word_parities(flat, size)
             most = [word_edits(x, rate) if rate else 0 for x in size.tolist()]
@@ -367,7 +385,8 @@ def line_classes(df: DataFrame, edits: int = EDITS, min_bytes: int = MIN_BYTES,
         raise ValueError("too many word edits for their length")
     where = materialize(_occurrences(df, id_col, text, min_bytes, short), "lines")
     with_id = df.filter(F.col(id_col).isNotNull())
-    bucket = shared_buckets(_members(with_id, text, min_bytes, edits, rate))
+    turns = PASSES if rate else 1
+    bucket = reduce(DataFrame.union, [shared_buckets(_members(with_id, text, min_bytes, edits, rate, turn, turns)) for turn in range(turns)])
     some = bucket.select("id").distinct()
     texts = materialize(_texts(with_id, text, min_bytes, rate).join(some, "id", "left_semi").dropDuplicates(["id"]), "linetext")
 
