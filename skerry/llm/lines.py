@@ -271,7 +271,7 @@ def _occurrences(df: DataFrame, id_col: str, text: str, min_bytes: int, short: b
     return df.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long"), text).mapInArrow(run, "doc long, line int, id long")
 
 
-def _distinct(batches: Iterator[pa.RecordBatch], min_bytes: int, column: int, limit: int = 4 << 20) -> Iterator[dict[int, bytes]]:
+def _distinct(batches: Iterator[pa.RecordBatch], min_bytes: int, column: int, limit: int = 1 << 20) -> Iterator[dict[int, bytes]]:
     """Lines by id, in parts of about ``limit`` bytes, each line once a part."""
     part, size = {}, 0
     for b in batches:
@@ -280,9 +280,9 @@ def _distinct(batches: Iterator[pa.RecordBatch], min_bytes: int, column: int, li
                 if len(x) >= min_bytes and (i := _id(x)) not in part:
                     part[i] = x
                     size += len(x)
-            if size > limit:
-                yield part
-                part, size = {}, 0
+                    if size > limit:
+                        yield part
+                        part, size = {}, 0
     if part:
         yield part
 
