@@ -19,6 +19,8 @@ def greedy_match(pred: DataFrame, truth: DataFrame, threshold: float = 0.5) -> D
     """
 
     def run(key: tuple, p: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
+        # A side of the cogroup without any rows arrives without columns.
+        p, t = p.reindex(columns=["idx", "conf", "x1", "y1", "x2", "y2"]), t.reindex(columns=["idx", "x1", "y1", "x2", "y2"])
         p, t = p.sort_values(["conf", "idx"], ascending=[False, True]), t.sort_values("idx")
         a, b = p[["x1", "y1", "x2", "y2"]].to_numpy(float).reshape(-1, 4), t[["x1", "y1", "x2", "y2"]].to_numpy(float).reshape(-1, 4)
         w = np.clip(np.minimum(a[:, None, 2], b[None, :, 2]) - np.maximum(a[:, None, 0], b[None, :, 0]), 0, None)

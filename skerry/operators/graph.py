@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..scratch import materialize
+from ..scratch import discard, materialize
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -29,7 +29,8 @@ def _state(edges: DataFrame) -> tuple:
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """``(u, v)`` edges of longs -> ``(id, component)`` for every node on an edge.
 
-    ``component`` is the smallest id that can be reached.  Self-loops and nulls
+    ``component`` is the smallest id that can be reached; the result is a table of
+    its own (see ``materialize``).  Self-loops and nulls
     are ignored as edges (a node that only has a self-loop has no row), repeated
     edges count once, an empty input gives an empty result.  Each round is
     written to the shared folder; only two numbers come back to the driver.  The
@@ -39,11 +40,13 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     now = materialize(_small_star(now), "cc")
     state = _state(now)
     for _ in range(max_rounds):
-        now = materialize(_small_star(_large_star(now)), "cc")
+        now = materialize(_small_star(_large_star(now)), "cc", drop=(now,))
         was, state = state, _state(now)
         if was == state:
             break
     else:
         raise RuntimeError("components did not converge")
     roots = now.select(F.col("v").alias("id")).distinct()
-    return now.select(F.col("u").alias("id"), F.col("v").alias("component")).union(roots.select("id", F.col("id").alias("component")))
+    out = materialize(now.select(F.col("u").alias("id"), F.col("v").alias("component")).union(roots.select("id", F.col("id").alias("component"))), "component")
+    discard(now)
+    return out

@@ -3,8 +3,10 @@
 ``materialize`` writes a frame as Parquet into the shared folder that the
 session names in ``spark.checkpoint.dir`` and reads it back: lineage is cut,
 the next stage sees real file sizes, and a lost executor costs nothing but the
-tasks it was running.  Only when the setting is unset (tests, a laptop) is a
-local folder created and stored in the session.
+tasks it was running.  ``discard`` deletes such a table as soon as its successor
+is written, ``release`` all that are left.  Only where the setting is unset and
+the master is local (tests, a laptop) is a local folder made and stored in the
+session; on a cluster an unset folder is an error.
 """
 
 from __future__ import annotations
@@ -15,44 +17,58 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _KEY = "spark.checkpoint.dir"
-#: Lets an execution delete its own exchange files at its end.
+#: Lets an execution delete its own exchange files at its end; set once a session, so threads don't disturb each other.
 _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _written: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder of the session; made and remembered where unset."""
+    """The shared folder of the session; made and remembered where unset on a local master."""
     at = spark.conf.get(_KEY, None)
     if not at:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError(f"{_KEY} has to name a folder that the driver and all executors share")
         at = "file://" + tempfile.mkdtemp(prefix="skerry-")
         spark.conf.set(_KEY, at)
     return at.rstrip("/")
 
 
-def materialize(df: DataFrame, name: str = "t") -> DataFrame:
-    """Write ``df`` once into the shared folder and return a scan of it.
+def materialize(df: DataFrame, name: str = "t", drop: tuple[DataFrame, ...] = ()) -> DataFrame:
+    """Write ``df`` once into the shared folder and return a scan of it; then ``discard`` the frames of ``drop``.
 
     What was shuffled for it is deleted with the write, so disk holds the table
     and not both.
     """
     spark = df.sparkSession
+    if spark.conf.get(_CLEAN, "false") != "true":
+        spark.conf.set(_CLEAN, "true")
     path = f"{shared_dir(spark)}/skerry/{name}-{uuid.uuid4().hex}"
-    was = spark.conf.get(_CLEAN, None)
-    spark.conf.set(_CLEAN, "true")
-    try:
-        df.write.option("compression", "zstd").parquet(path)
-    finally:
-        if was is None:
-            spark.conf.unset(_CLEAN)
-        else:
-            spark.conf.set(_CLEAN, was)
+    df.write.option("compression", "zstd").parquet(path)
     _written.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    discard(*drop)
+    return out
 
 
-def release(spark: SparkSession) -> None:
-    """Delete every table that ``materialize`` wrote in this process."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    while _written:
-        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
-        path.getFileSystem(conf).delete(path, True)
+def discard(*frames: DataFrame) -> None:
+    """Delete the tables behind frames that ``materialize`` returned; others are left alone."""
+    for df in frames:
+        path = getattr(df, "_scratch", None)
+        if path in _written:
+            _written.remove(path)
+            _delete(df.sparkSession, path)
+
+
+def release(spark: SparkSession, before: DataFrame | None = None) -> None:
+    """Delete every table that ``materialize`` wrote in this process and that ``before`` doesn't read."""
+    used = [x.rsplit("/", 1)[0].rsplit("/", 1)[-1] for x in before.inputFiles()] if before is not None and _written else []
+    for path in list(_written):
+        if path.rsplit("/", 1)[-1] not in used:
+            _written.remove(path)
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
