@@ -60,10 +60,16 @@ def discard(*frames: DataFrame) -> None:
             _delete(df.sparkSession, path)
 
 
-def release(spark: SparkSession, before: DataFrame | None = None) -> None:
-    """Delete every table that ``materialize`` wrote in this process and that ``before`` doesn't read."""
-    used = [x.rsplit("/", 1)[0].rsplit("/", 1)[-1] for x in before.inputFiles()] if before is not None and _written else []
-    for path in list(_written):
+def written() -> list[str]:
+    """Paths of the tables that ``materialize`` wrote in this process and that weren't deleted."""
+    return list(_written)
+
+
+def release(spark: SparkSession, paths: list[str] | None = None, unless_read_by: DataFrame | None = None) -> None:
+    """Delete tables that ``materialize`` wrote in this process: all, or those of ``paths``; not what a frame reads."""
+    paths = [x for x in _written if paths is None or x in paths]
+    used = {x.rsplit("/", 2)[-2] for x in unless_read_by.inputFiles()} if paths and unless_read_by is not None else ()
+    for path in paths:
         if path.rsplit("/", 1)[-1] not in used:
             _written.remove(path)
             _delete(spark, path)
