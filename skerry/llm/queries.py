@@ -36,8 +36,7 @@ def op4_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_llr_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rules and log-likelihood ratio of every document; trusted: labelled quality 1, not toxic."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    labels = table(spark, sf_dir, "labels").filter("doc_id is not null").groupBy("doc_id").agg(F.min((F.col("quality") == 1) & (F.col("toxic") == 0)).alias("trusted"))
-    ratios = rules.fit(docs.join(labels, "doc_id", "left"), "trusted")
+    ratios = rules.fit(docs, rules.trusted_sample(table(spark, sf_dir, "labels"), most=20_000))
     return rules.quality_rules(docs, ratios).drop("text")
 
 

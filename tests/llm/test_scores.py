@@ -64,20 +64,32 @@ def test_base_rules_by_force(spark, edge, edge_texts):
 
 
 def test_ratio_is_the_mean_over_grams(spark):
-    df = spark.createDataFrame([(0, "a b a", True), (1, "c c", False), (2, None, None)], "doc_id long, text string, good boolean")
+    df = spark.createDataFrame([(0, "a b a"), (1, "c c"), (2, None)], "doc_id long, text string")
     buckets = 1 << 12
-    ratios = rules.fit(df, "good", buckets=buckets)
-    g = {r[0]: r[1] for r in df.select("doc_id", rules.grams(F.transform(F.split(F.coalesce("text", F.lit("")), " "), lambda w: F.xxhash64(w)), buckets)).collect()}
+    ratios = rules.fit(df, spark.createDataFrame([(0,)], "doc_id long"), buckets=buckets)
+    word = {r[0]: r[1] for r in spark.createDataFrame([(x,) for x in "abc"], "w string").select("w", F.xxhash64("w")).collect()}
+    pair = {r[0] + r[1]: r[2] for r in spark.createDataFrame([tuple(x) for x in ("ab", "ba", "cc")], "a string, b string").select("a", "b", F.xxhash64(F.xxhash64("a"), F.xxhash64("b"))).collect()}
+    g = [[word[x] % 2048 for x in "aba"] + [pair[x] % 2048 + 2048 for x in ("ab", "ba")], [word["c"] % 2048] * 2 + [pair["cc"] % 2048 + 2048]]
     good, raw = Counter(g[0]), Counter(g[0]) + Counter(g[1])
     want = lambda b: math.log(good[b] + rules.PRIOR) - math.log(raw[b] * 5 / 8 + rules.PRIOR)
     got = {r["doc_id"]: r["llr"] for r in rules.quality_rules(df, ratios).collect()}
     assert got[0] == pytest.approx(sum(map(want, g[0])) / 5, abs=1e-5) and got[1] == pytest.approx(sum(map(want, g[1])) / 3, abs=1e-5) and got[2] == 0
 
 
-def test_rules_keep_labelled_good_documents(spark):
-    got = queries.QUERIES["op9_llr_quality_rules"](spark, BIG).join(table(spark, BIG, "labels"), "doc_id").filter("not base_failed")
-    good, bad = got.filter("quality = 1"), got.filter("quality = 0")
-    assert good.filter("kept").count() == good.count() and bad.filter("kept").count() < 0.5 * bad.count()
+def test_rules_judge_labelled_documents_that_they_did_not_learn_from(spark):
+    docs, labels = table(spark, BIG, "documents").select("doc_id", "text"), table(spark, BIG, "labels")
+    ratios = rules.fit(docs, rules.trusted_sample(labels.filter("doc_id % 2 = 0")))
+    got = rules.quality_rules(docs, ratios).join(labels.filter("doc_id % 2 = 1"), "doc_id").filter("not base_failed")
+    good, bad = got.filter("quality = 1 and toxic = 0"), got.filter("quality = 0")
+    assert good.count() > 100 and bad.count() > 15
+    assert good.filter("kept").count() >= 0.97 * good.count() and bad.filter("kept").count() < 0.2 * bad.count()
+
+
+def test_rules_of_nothing_and_repeated_rows(spark, none, edge):
+    ids = spark.createDataFrame([(5,), (5,)], "doc_id long")
+    assert rules.quality_rules(none, rules.fit(none, ids)).count() == 0
+    got = rules.quality_rules(edge.union(edge), rules.fit(edge.union(edge), ids)).groupBy("doc_id").agg(F.countDistinct("llr", "kept").alias("n"), F.count("*").alias("c")).collect()
+    assert all((r["n"], r["c"]) == (1, 2) for r in got)
 
 
 def test_language_held_out_accuracy(spark):
