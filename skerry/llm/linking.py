@@ -1,69 +1,103 @@
 """Components of verified links among rows that share a bucket.
 
-A bucket's members are compared with its leader first; what is linked becomes
-one component.  Only buckets that then hold several components go on: in each of
-a few rounds their strays meet other leaders, drawn by a hash, ``LEADERS`` of
-those that a stray's buckets offer.  What is still apart meets
-every member of another component that ``near`` allows.  Links inside a
-component need no check, so a bucket of n rows that are all alike costs a few n
-comparisons.  Every pair of a bucket is either inside one component or compared,
-so no link is lost.
+Buckets of few ids compare all their pairs.  In larger ones every id meets a few
+leaders, drawn by a hash from some of its buckets; what is linked becomes one
+component.  Only buckets that then hold several components go on: their strays
+meet other leaders, and what is still apart after that meets every member of
+another component that ``near`` allows.  Links inside a component need no check,
+so a bucket of n rows that are all alike costs a few n comparisons.  Every pair of
+a bucket is either inside one component or compared, so no link is lost.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.graph import components
-from ..scratch import materialize
+from ..scratch import discard, materialize
 
-ROUNDS, LEADERS = 2, 3
+#: Ids of a bucket whose pairs are all compared at once.
+SMALL = 16
+#: Rounds of drawn leaders; leaders of a bucket, buckets of an id and partners of an id in a round.
+ROUNDS, LEADERS, TRIED, PARTNERS = 2, 8, 3, 4
+#: Bands of an id that are looked at so that a pair is made once.
+FIRST = 64
 
 
 def shared_buckets(members: DataFrame) -> DataFrame:
-    """``(band, id)`` rows -> those of bands with two ids or more, with the smallest as ``lead``; written out."""
-    most = members.groupBy("band").agg(F.min("id").alias("lead"), F.max("id").alias("__hi")).filter("lead <> __hi").select("band", "lead")
+    """``(band, id)`` rows -> those of bands with two ids or more, with ``many``, the number of their rows; written out.
+
+    Of bands with the same members one is enough: like rows share many.  They are
+    told by their smallest and largest id, their number and two sums of hashes.
+    """
+    piece = lambda seed: F.try_sum(F.shiftrightunsigned(F.xxhash64("id", F.lit(seed)), 24))
+    most = members.groupBy("band").agg(F.min("id").alias("__lo"), F.max("id").alias("__hi"), F.count("*").alias("many"), piece(1).alias("__a"), piece(2).alias("__b")).filter("__lo <> __hi")
+    # A sum that overflows is null: such a band stands for itself.
+    own = F.when(F.col("__a").isNull() | F.col("__b").isNull(), F.col("band"))
+    most = most.groupBy("__lo", "__hi", "many", "__a", "__b", own.alias("__own")).agg(F.min("band").alias("band")).select("band", "many")
     return materialize(members.join(most, "band"), "bucket")
 
 
-def link_buckets(bucket: DataFrame, confirm: Callable[[DataFrame], DataFrame], info: DataFrame, near: Callable[[str, str], Column], links: DataFrame | None = None) -> DataFrame:
+def _side(df: DataFrame, s: str) -> DataFrame:
+    return df.select(*[F.col(c).alias(f"{s}{c}") for c in df.columns])
+
+
+def link_buckets(bucket: DataFrame, info: DataFrame, near: Callable[[str, str], Column], confirm: Callable[[DataFrame, DataFrame], DataFrame], whole: DataFrame, links: DataFrame | None = None) -> DataFrame:
     """``(id, component)`` of every id with a link.
 
-    ``bucket`` comes from ``shared_buckets``.  ``confirm`` takes ``(x, y)`` pairs
-    and returns the linked ones as ``(u, v)``.  ``info`` has one row an id; ``near``
-    gets two prefixes of its columns and says whether a pair could be linked.
-    ``links`` are links known before.
+    ``bucket`` comes from ``shared_buckets`` and is deleted once it has been read.
+    ``info`` has one row an id; ``near`` gets two prefixes of its columns and says
+    whether a pair could be linked.  ``confirm`` takes ``(x, y)`` pairs and a table
+    like ``whole``, which has what decides of each id, and returns the linked pairs
+    as ``(u, v)``.  ``links`` are links known before.
     """
-    of = lambda s: info.select(*[F.col(c).alias(f"{s}{c}") for c in info.columns])
-    allowed = near("x_", "y_")
+    rows = materialize(bucket.join(info, "id"), "wide", drop=(bucket,))
+    allowed = near("x_", "y_") & (F.col("x_band") == F.col("y_band"))
+    few, large = rows.filter(F.col("many") <= SMALL), rows.filter(F.col("many") > SMALL)
+    pairs = _side(few, "x_").join(_side(few, "y_"), (F.col("x_id") < F.col("y_id")) & allowed).select(F.col("x_id").alias("x"), F.col("y_id").alias("y"))
 
-    def check(pairs: DataFrame) -> DataFrame:
-        fit = pairs.join(of("x_"), F.col("x") == F.col("x_id")).join(of("y_"), F.col("y") == F.col("y_id")).filter(allowed)
-        return confirm(fit.select("x", "y"))
+    def draw(strays: DataFrame, members: DataFrame, turn: int) -> DataFrame:
+        """Some partners of each stray among the leaders of some of its bands."""
+        tried = strays.withColumn("__k", F.row_number().over(Window.partitionBy("id").orderBy(F.xxhash64("band", F.lit(turn)), "band"))).filter(F.col("__k") <= TRIED).drop("__k")
+        lead = members.filter(F.pmod(F.xxhash64("id", F.lit(turn)), F.col("many")) < LEADERS)
+        met = _side(tried, "x_").join(_side(lead, "y_"), (F.col("x_tag") != F.col("y_tag")) & allowed).select(F.col("x_id").alias("x"), F.col("y_id").alias("y")).distinct()
+        return met.withColumn("__k", F.row_number().over(Window.partitionBy("x").orderBy(F.xxhash64("x", "y", F.lit(turn)), "y"))).filter(F.col("__k") <= PARTNERS).select("x", "y")
 
-    pairs = bucket.groupBy("id").agg(F.min("lead").alias("y")).filter("id <> y").select(F.col("id").alias("x"), "y")
-    found = check(pairs)
+    alone = large.withColumn("tag", F.col("id"))
+    pairs = pairs.union(draw(alone, alone, 0)).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+    found = confirm(pairs, whole)
     found = materialize(found if links is None else found.union(links), "link")
-    for turn in range(ROUNDS + 1):
-        label = materialize(components(found), "label")
-        tagged = bucket.join(label, "id", "left").select("band", "id", F.coalesce("component", "id").alias("tag"))
-        drawn = F.struct(F.xxhash64("id", "band", F.lit(turn)).alias("h"), "id", "tag")
-        open_ = tagged.groupBy("band").agg(F.min("tag").alias("lo"), F.max("tag").alias("hi"), F.min(drawn).alias("lead")).filter("lo <> hi").select("band", F.col("lead.id").alias("y"), F.col("lead.tag").alias("main"))
-        mixed = materialize(tagged.join(open_, "band"), "mixed")
+    label = components(found)
+    discard(found)
+    some = None
+    for turn in range(1, ROUNDS + 1):
+        tagged = large.join(label, "id", "left").withColumn("tag", F.coalesce("component", "id")).drop("component")
+        open_ = tagged.groupBy("band").agg(F.min("tag").alias("lo"), F.max("tag").alias("hi"), F.min_by("tag", F.xxhash64("id", F.lit(turn))).alias("main")).filter("lo <> hi").select("band", "main")
+        # The bands' tags were decided by the label before: those of `large` are written anew.
+        mixed = materialize(tagged.join(open_, "band"), "mixed", drop=(rows,))
+        discard(large)
         if mixed.isEmpty():
-            return label
-        bucket = mixed.select("band", "id")
+            large = mixed
+            break
+        if some is None:
+            some = materialize(whole.join(mixed.select("id").distinct(), "id", "left_semi"), "some")
         stray = mixed.filter("tag <> main")
         if turn < ROUNDS:
-            offers = stray.groupBy(F.col("id").alias("x")).agg(F.array_sort(F.collect_set(F.struct(F.xxhash64("id", "y").alias("h"), "y"))).alias("o"))  # as many as an id has bands
-            more = check(offers.select("x", F.explode(F.slice("o", 1, LEADERS)).alias("o")).select("x", "o.y"))
+            more = confirm(draw(stray, mixed, turn), some)
         else:
-            a = stray.select("band", F.col("id").alias("x"), F.col("tag").alias("tx")).join(of("x_"), F.col("x") == F.col("x_id"))
-            b = mixed.select(F.col("band").alias("__b"), F.col("id").alias("y"), F.col("tag").alias("ty"), "main").join(of("y_"), F.col("y") == F.col("y_id"))
-            apart = (F.col("tx") != F.col("ty")) & ((F.col("ty") == F.col("main")) | (F.col("y") < F.col("x")))
-            more = confirm(a.join(b, (F.col("band") == F.col("__b")) & apart & allowed).select("x", "y").distinct())
-        found = materialize(found.union(more), "link")
-    return components(found)
+            # A pair is made in the smallest band that both hold among their first FIRST ones; where there is none, in all they share.
+            first = mixed.groupBy("id").agg(F.slice(F.array_sort(F.collect_set("band")), 1, FIRST).alias("bands"))
+            x, y = _side(stray.join(first, "id"), "x_"), _side(mixed.join(first, "id"), "y_")
+            apart = (F.col("x_tag") != F.col("y_tag")) & ((F.col("y_tag") == F.col("y_main")) | (F.col("y_id") < F.col("x_id")))
+            once = F.coalesce(F.array_min(F.array_intersect("x_bands", "y_bands")) == F.col("x_band"), F.lit(True))
+            more = confirm(x.join(y, apart & allowed & once).select(F.col("x_id").alias("x"), F.col("y_id").alias("y")).distinct(), some)
+        found = materialize(label.select(F.col("id").alias("u"), F.col("component").alias("v")).union(more), "link", drop=(label,))
+        label = components(found)
+        discard(found)
+        large = mixed.drop("tag", "main")
+        large._scratch = mixed._scratch
+    discard(rows, large, *(() if some is None else (some,)))
+    return label

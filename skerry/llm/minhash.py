@@ -32,16 +32,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..scratch import materialize
+from ..scratch import discard, materialize
 from .linking import link_buckets, shared_buckets
 
 BANDS, ROWS, SIZE = 48, 7, 256
-WORDS = SIZE // 64
 CACHE_WORDS = 300_000
-#: Differing one-bit coordinates above which a pair isn't confirmed on its sets:
-#: 6 standard deviations above what similarity 0.8 has.  Only for sets of more
-#: than FEW elements, whose coordinates are as good as independent.
-MAX_BITS_APART, FEW = 54, 64
+#: Classes of shingles whose parities bound the difference of two sets.
+CLASSES = 1024
 
 _M1, _M2, _GOLD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
@@ -101,14 +98,14 @@ def sketch(elements: np.ndarray) -> np.ndarray:
 
 
 def sketches(df: DataFrame, words: int, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document: set size, a 128-bit hash of the set, bands, and one bit of each coordinate."""
-    schema = T.StructType([T.StructField("id", T.LongType()), *[T.StructField(c, T.LongType()) for c in ("n", "h1", "h2")], T.StructField("bands", T.ArrayType(T.LongType())), *[T.StructField(f"b{k}", T.LongType()) for k in range(WORDS)]])
+    """Per document: set size, a 128-bit hash of the set, and bands."""
+    schema = T.StructType([T.StructField("id", T.LongType()), *[T.StructField(c, T.LongType()) for c in ("n", "h1", "h2")], T.StructField("bands", T.ArrayType(T.LongType()))])
     salt = mix(np.arange(1, BANDS + 1, dtype=np.uint64) * _GOLD)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler(words)
         for b in batches:
-            n, hashes, bands, bits = [], [], [], []
+            n, hashes, bands = [], [], []
             for i in range(b.num_rows):
                 t = b.column(1)[i].as_py()
                 s = shingles(t.encode()) if t else np.empty(0, np.uint64)
@@ -116,7 +113,6 @@ def sketches(df: DataFrame, words: int, id_col: str = "doc_id", text: str = "tex
                 if not len(s):
                     hashes.append((0, 0))
                     bands.append(np.empty(0, np.int64))
-                    bits.append(np.zeros(WORDS, np.int64))
                     continue
                 d = xxhash.xxh3_128_digest(s.tobytes())
                 hashes.append(np.frombuffer(d, np.int64))
@@ -125,17 +121,17 @@ def sketches(df: DataFrame, words: int, id_col: str = "doc_id", text: str = "tex
                 for k in range(ROWS):
                     key = mix(key * _GOLD + c[BAND_COORDINATES[:, k]])
                 bands.append(key.view(np.int64))
-                bits.append(np.packbits((mix(c) & np.uint64(1)).astype(np.uint8)).view(np.int64))
-            h, w = np.array(hashes, np.int64).reshape(-1, 2), np.array(bits, np.int64).reshape(-1, WORDS)
+            h = np.array(hashes, np.int64).reshape(-1, 2)
             flat = np.concatenate(bands) if bands else np.empty(0, np.int64)
             at = np.concatenate([[0], np.cumsum([len(x) for x in bands])]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(h[:, 0]), pa.array(h[:, 1]), pa.ListArray.from_arrays(pa.array(at), pa.array(flat)), *[pa.array(w[:, k]) for k in range(WORDS)]], names=schema.names)
+            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(h[:, 0]), pa.array(h[:, 1]), pa.ListArray.from_arrays(pa.array(at), pa.array(flat))], names=schema.names)
 
     return df.select(F.col(id_col).cast("long"), text).mapInArrow(run, schema)
 
 
 def shingle_sets(df: DataFrame, words: int, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document its full set of shingle hashes, as an array."""
+    """Per document its full set of shingle hashes, as an array, and the parities of their ``CLASSES`` as ``q0``, ``q1``, ..."""
+    bits = [f"q{k}" for k in range(CLASSES // 64)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler(words)
@@ -143,10 +139,13 @@ def shingle_sets(df: DataFrame, words: int, id_col: str = "doc_id", text: str =
             for k in range(0, b.num_rows, 512):
                 part = b.slice(k, 512)
                 sets = [shingles(t.encode()).view(np.int64) if (t := part.column(1)[i].as_py()) else np.empty(0, np.int64) for i in range(part.num_rows)]
-                at = np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(sets)))], names=["id", "set"])
+                sizes, flat = [len(x) for x in sets], np.concatenate(sets)
+                at = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+                cell = np.repeat(np.arange(len(sets)) * CLASSES, sizes) + (flat & (CLASSES - 1))
+                odd = np.packbits((np.bincount(cell, minlength=CLASSES * len(sets)) & 1).astype(np.uint8)).view(np.int64).reshape(len(sets), -1)
+                yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), pa.ListArray.from_arrays(pa.array(at), pa.array(flat)), *map(pa.array, odd.T)], names=["id", "set", *bits])
 
-    return df.select(F.col(id_col).cast("long"), text).mapInArrow(run, "id long, set array<long>")
+    return df.select(F.col(id_col).cast("long"), text).mapInArrow(run, "id long, set array<long>, " + ", ".join(f"{x} long" for x in bits))
 
 
 def _alike(percent: int):
@@ -155,17 +154,19 @@ def _alike(percent: int):
 
 
 def _near(percent: int):
-    """Whether set sizes, shingles that occur in one set only, and coordinate bits allow a link.
+    """Whether set sizes, shingles that occur in one set only, and parities allow a link; never wrong about a link.
 
     Of a set's shingles ``own`` occur in no other candidate, so no intersection
-    can be larger than what the smaller rest of the two sets leaves.
+    can be larger than what the smaller rest of the two sets leaves.  Each class
+    whose parity differs holds a shingle of one set only, so the sets differ in
+    as many shingles at least.
     """
 
     def allowed(x: str, y: str) -> Column:
         small, large = F.least(f"{x}n", f"{y}n"), F.greatest(f"{x}n", f"{y}n")
-        apart = sum((F.bit_count(F.col(f"{x}b{k}").bitwiseXOR(F.col(f"{y}b{k}"))) for k in range(WORDS)), F.lit(0))
+        apart = sum((F.bit_count(F.col(f"{x}q{k}").bitwiseXOR(F.col(f"{y}q{k}"))) for k in range(CLASSES // 64)), F.lit(0))
         both = F.least(F.col(f"{x}n") - F.col(f"{x}own"), F.col(f"{y}n") - F.col(f"{y}own"))
-        return (100 * small >= percent * large) & (100 * both >= percent * (small + large - both)) & ((small <= FEW) | (apart <= MAX_BITS_APART))
+        return (100 * small >= percent * large) & (100 * both >= percent * (small + large - both)) & ((100 + percent) * (small + large - apart) >= 2 * percent * (small + large))
 
     return allowed
 
@@ -178,29 +179,35 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, id_col: st
     fewer.  Two documents are linked where ``100 * intersection >= percent *
     union``; ``component_id`` is the smallest id that links reach, and ``kept``
     marks its document.  Null, empty and blank texts are linked with nothing;
-    rows of one id count as linked; a null id stays alone and is kept.
+    rows of one id count as linked; a null id stays alone and is kept; an empty
+    table stays empty.  Only the two columns are read.  Ids have to be whole numbers.
     ``percent`` below 80 needs other bands.
     """
+    if df.schema[id_col].dataType.typeName() not in ("byte", "short", "integer", "long"):
+        raise TypeError(f"{id_col} has to be a whole number")
     known = materialize(sketches(df, words, id_col, text), "sketch")
     real = known.filter("n > 0 and id is not null")
     first = real.groupBy("n", "h1", "h2").agg(F.min("id").alias("rep"))
     member = materialize(real.select("id", "n", "h1", "h2").join(first, ["n", "h1", "h2"]).select("id", "n", "rep"), "member")
     reps = member.select(F.col("rep").alias("id")).distinct()
-    info = materialize(real.join(reps, "id", "left_semi").dropDuplicates(["id"]), "rep")
+    info = real.join(reps, "id", "left_semi").dropDuplicates(["id"])
     # Rows of one id with different texts: their classes hold together.
     same = member.filter("id <> rep").select("id", "rep").join(reps, "id", "left_semi").select(F.col("id").alias("u"), F.col("rep").alias("v"))
-    bucket = shared_buckets(info.select("id", F.explode("bands").alias("band")))
+    bands = materialize(info.select("id", F.explode("bands").alias("band")), "band")
+    alone = materialize(known.filter("not (n > 0 and id is not null)").select("id", "n", F.col("id").alias("component_id")), "alone", drop=(known,))
+    bucket = shared_buckets(bands)
     near = materialize(bucket.select("id").distinct(), "near")
-    sets = materialize(shingle_sets(df.join(near.select(F.col("id").alias(id_col)), id_col, "left_semi").dropDuplicates([id_col]), words, id_col, text), "sets")
+    sets = materialize(shingle_sets(df.join(near.select(F.col("id").alias(id_col)), id_col, "left_semi").dropDuplicates([id_col]), words, id_col, text), "sets", drop=(bands,))
 
-    def confirm(pairs: DataFrame) -> DataFrame:
-        side = lambda s: sets.select(F.col("id").alias(s), F.col("set").alias(f"s{s}"))
+    def confirm(pairs: DataFrame, whole: DataFrame) -> DataFrame:
+        side = lambda s: whole.select(F.col("id").alias(s), F.col("set").alias(f"s{s}"))
         return pairs.join(side("x"), "x").join(side("y"), "y").filter(_alike(percent)).select(F.col("x").alias("u"), F.col("y").alias("v"))
 
     once = sets.select("id", F.explode("set").alias("s")).groupBy("s").agg(F.count("*").alias("c"), F.min("id").alias("id")).filter("c = 1")
     own = once.groupBy("id").agg(F.count("*").alias("own"))
-    info = materialize(info.drop("bands", "h1", "h2").join(near, "id", "left_semi").join(own, "id", "left").withColumn("own", F.coalesce("own", F.lit(0))), "info")
-    label = link_buckets(bucket, confirm, info, _near(percent), same)
+    info = sets.withColumn("n", F.size("set").cast("long")).drop("set").join(own, "id", "left").withColumn("own", F.coalesce("own", F.lit(0)))
+    info = materialize(info, "info")
+    label = link_buckets(bucket, info, _near(percent), confirm, sets.select("id", "set"), same)
+    discard(info, sets, near)
     found = member.join(label.select(F.col("id").alias("rep"), "component"), "rep", "left").select("id", "n", F.coalesce("component", "rep").alias("component_id"))
-    alone = known.filter("not (n > 0 and id is not null)").select("id", "n", F.col("id").alias("component_id"))
     return found.union(alone).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
