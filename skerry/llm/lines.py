@@ -20,18 +20,17 @@ few letters are no evidence of copying.  With ``short`` their exact repeats form
 classes if they hold a word; blank lines and rules always stay.  Of each class of linked lines the first
 occurrence stays (smallest document, then smallest line); the others go.
 
-Scale: equal lines are one row from the first map on; all segment hashes of a
-batch are computed as vectors; candidates go through ``link_buckets``, so a
-family of like lines costs comparisons in proportion to its size.  Lines are
-identified by a 64-bit hash.
+Scale: words, segments and probes of a part of lines are hashed as vectors, each
+line once a part, and reach the task that collects a key as packed arrays; only
+keys that lines share become rows.  Candidates go through ``link_buckets``, so a
+family of like lines costs comparisons in proportion to its size.  Lines count as
+equal by a 128-bit hash; near ones are compared letter by letter.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import reduce
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,16 +38,22 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..scratch import materialize
+from ..scratch import discard, materialize
+from .common import numbered
 from .linking import link_buckets, shared_buckets
 
 EDITS, MIN_BYTES = 2, 32
 #: Words of a line that may have one edit, and of a hashed run of words.
 MIN_WORDS, SHINGLE = 8, 5
-#: Passes over the keys where words have some too: the disk for one pass's keys is needed at a time.
-PASSES = 2
+#: Classes of words whose parities bound the edits of words.
+CLASSES = 512
+#: Bytes of distinct lines whose keys are made at a time.
+PART_BYTES = 2 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so powers never vanish modulo 2**64
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+_BLOCK = 1 << 15
+_UP = np.concatenate([[np.uint64(1)], np.cumprod(np.full(_BLOCK, _BASE))])
+_DOWN = np.concatenate([[np.uint64(1)], np.cumprod(np.full(_BLOCK, np.uint64(pow(int(_BASE), -1, 1 << 64))))])
 
 
 def edit_distance(a: bytes | str | tuple, b: bytes | str | tuple, most: int) -> int:
@@ -124,31 +129,31 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def keys(lines: list[bytes] | list[str], edits: int) -> tuple[np.ndarray, np.ndarray]:
+def _powers(n: int) -> np.ndarray:
+    return np.concatenate([[np.uint64(1)], np.cumprod(np.full(n, _BASE))])
+
+
+def _prefix(flat: np.ndarray) -> np.ndarray:
+    """Sums ``prefix[i + 1] = prefix[i] * BASE + flat[i] + 1``; blocks of sums over inverse powers."""
+    out = np.zeros(len(flat) + 1, np.uint64)
+    for i in range(0, len(flat), _BLOCK):
+        part = flat[i : i + _BLOCK].astype(np.uint64) + np.uint64(1)
+        n = len(part)
+        out[i + 1 : i + n + 1] = (np.cumsum(part * _DOWN[1 : n + 1]) + out[i]) * _UP[1 : n + 1]
+    return out
+
+
+def keys(lines: list[str], edits: int) -> tuple[np.ndarray, np.ndarray]:
     """``(line number, key)`` of every segment and probe of the lines, as two arrays."""
+    flat = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32)
     size = np.array([len(x) for x in lines], np.int64)
-    text = lines and isinstance(lines[0], str)
-    flat = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32) if text else np.frombuffer(b"".join(lines), np.uint8)
-    return _keys(flat, size, edits)
-
-
-def _keys(flat: np.ndarray, size: np.ndarray, edits: int) -> tuple[np.ndarray, np.ndarray]:
-    """``keys`` of sequences of numbers, one after another in ``flat``."""
-    at = np.concatenate([[0], np.cumsum(size)])[:-1].astype(np.int64)
-    flat = flat.astype(np.uint64) + np.uint64(1)
-    longest = int(size.max(initial=0)) + 1
-    power = np.concatenate([[np.uint64(1)], np.cumprod(np.full(longest, _BASE))])
-    # prefix[i + 1] = prefix[i] * BASE + byte, restarted by differences of a running sum over inverse powers
-    prefix = np.zeros(len(flat) + 1, np.uint64)
-    inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
-    block = 1 << 16
-    down, upw = np.concatenate([[np.uint64(1)], np.cumprod(np.full(block, inverse))]), np.concatenate([[np.uint64(1)], np.cumprod(np.full(block, _BASE))])
-    for i in range(0, len(flat), block):
-        part = flat[i : i + block]
-        n = len(part)
-        prefix[i + 1 : i + n + 1] = (np.cumsum(part * down[1 : n + 1]) + prefix[i]) * upw[1 : n + 1]
+    return _keys(_prefix(flat), np.cumsum(size) - size, size, edits)
+
+
+def _keys(prefix: np.ndarray, at: np.ndarray, size: np.ndarray, edits: int) -> tuple[np.ndarray, np.ndarray]:
+    """``keys`` of the sequences that start at ``at`` and have ``size`` numbers."""
+    power = _powers(int(size.max(initial=0)) + 1)
     rows, found = [], []
-    number = np.arange(len(size))
     parts = edits + 1
 
     def put(who: np.ndarray, k: int, length: np.ndarray, start: np.ndarray, wide: np.ndarray) -> None:
@@ -159,7 +164,7 @@ def _keys(flat: np.ndarray, size: np.ndarray, edits: int) -> tuple[np.ndarray, n
     for less in range(edits + 1):  # the other line is shorter by this
         other = size - less
         ok = np.flatnonzero(other >= parts)
-        start, wide = (x[:, :] for x in segments(other[ok], edits))
+        start, wide = segments(other[ok], edits)
         for k in range(parts):
             # Places a segment can have moved to, seen from the left and from the right end.
             for move in range(-edits, edits + 1):
@@ -169,7 +174,7 @@ def _keys(flat: np.ndarray, size: np.ndarray, edits: int) -> tuple[np.ndarray, n
                 fits = (s >= 0) & (s + wide[:, k] <= size[ok])
                 put(ok[fits], k, other[ok][fits], s[fits], wide[fits, k])
     if not rows:
-        return number[:0], np.empty(0, np.uint64)
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
     return np.concatenate(rows), np.concatenate(found)
 
 
@@ -183,36 +188,48 @@ def _run(times: int, rate: int) -> int:
     return -(-times * (rate - 1) // (times + 1))
 
 
-_LETTER = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+#: Code points of scripts without spaces, of which each is a word.
+_ALONE = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x3400, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF))
+_LETTER = "".join(f"{chr(a)}-{chr(b)}" for a, b in _ALONE)
 _WORDS = re.compile(f"[{_LETTER}]|[^\\s{_LETTER}]+")
+#: By code point: 0 is part of a word, 1 a space, 2 a word by itself.
+_KIND = np.zeros(0x110000, np.uint8)
+_KIND[[c for c in range(0x3001) if chr(c).isspace()]] = 1
+for _a, _b in _ALONE:
+    _KIND[_a : _b + 1][_KIND[_a : _b + 1] == 0] = 2
 
 
-def line_words(line: bytes) -> list:
+def line_words(line: bytes) -> list[str]:
     """The words of a line; each letter of a script without spaces is one."""
-    return line.split() if line.isascii() else [w.encode() for w in _WORDS.findall(line.decode())]
-
+    return line.decode().split() if line.isascii() else _WORDS.findall(line.decode())
 
-class _Hasher:
-    """64-bit hashes of the words of lines, one after another, and the number of each line."""
 
-    def __init__(self):
-        self.known: dict[bytes, int] = {}
+class Letters:
+    """Lines as one array of code points with sums for hashing, and the hashes of their words."""
 
-    def __call__(self, lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        known, parts = self.known, [line_words(x) for x in lines]
-        flat = list(chain.from_iterable(parts))
-        if len(known) > 300_000:
-            known.clear()
-        for w in set(flat).difference(known):
-            known[w] = xxhash.xxh3_64_intdigest(w)
-        return np.fromiter(map(known.__getitem__, flat), np.uint64, len(flat)), np.fromiter(map(len, parts), np.int64, len(parts))
+    def __init__(self, lines: list[bytes]):
+        self.flat = flat = np.frombuffer((b"\n".join(lines) + b"\n").decode().encode("utf-32-le"), np.uint32)
+        ends = np.flatnonzero(flat == 10)
+        self.at = np.concatenate([[0], ends[:-1] + 1])
+        self.size = ends - self.at
+        self.prefix = _prefix(flat)
+        kind = _KIND[flat]
+        inside = np.zeros(len(flat) + 2, bool)
+        inside[1:-1] = kind == 0
+        start = np.flatnonzero((inside[1:-1] & ~inside[:-2]) | (kind == 2))
+        end = start + 1
+        end[kind[start] == 0] = np.flatnonzero(inside[1:-1] & ~inside[2:]) + 1
+        power = _powers(int((end - start).max(initial=0)) + 1)
+        self.words = _mix(_hash(self.prefix, power, start, end - start))
+        self.count = np.diff(np.searchsorted(start, np.append(self.at, len(flat))))
 
 
 def word_keys(flat: np.ndarray, size: np.ndarray, rate: int) -> tuple[np.ndarray, np.ndarray]:
     """``(line number, key)`` such that lines within ``word_edits`` of the shorter one share a key."""
     number, owner = np.arange(len(size)), np.repeat(np.arange(len(size)), size)
     few = (size >= MIN_WORDS) & (size <= 2 * rate)  # the shorter line has one edit
-    row, key = _keys(flat[few[owner]], size[few], 1)
+    short = size[few]
+    row, key = _keys(_prefix(flat[few[owner]]), np.cumsum(short) - short, short, 1)
     rows, found = [number[few][row]], [_mix(key ^ _M1)]
     # Lines of 2 * rate to 3 * rate words, which keep shorter runs, and those of more; an other line can be longer by the edits.
     for times, least, most in ((2, 2 * rate, 3 * rate + 1), (3, 3 * rate, None)):
@@ -242,8 +259,9 @@ def _split(text: str | None) -> list[bytes]:
     return [] if text is None else text.encode().split(b"\n")
 
 
-def _id(line: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(line) - (1 << 63)
+def _ids(lines: list[bytes]) -> np.ndarray:
+    """A 128-bit hash of each line, as two numbers."""
+    return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, lines)), "<i8").reshape(-1, 2)
 
 
 _WORD = re.compile("[^\\W_]")
@@ -254,103 +272,202 @@ def holds_word(line: bytes) -> bool:
     return _WORD.search(line.decode()) is not None
 
 
-def _occurrences(df: DataFrame, id_col: str, text: str, min_bytes: int, short: bool) -> DataFrame:
-    """``(doc, line, id)`` of every line that is long enough or, with ``short``, holds a word."""
+def _occurrences(df: DataFrame, text: str, min_bytes: int, short: bool) -> DataFrame:
+    """``(doc, line, id, more, own)`` of every line that is long enough or, with ``short``, holds a word.
+
+    ``id`` and ``more`` are the halves of its hash; ``own`` is the first such line
+    of its document.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            docs, nums, ids = [], [], []
+            docs, nums, lines, own = [], [], [], []
             for d, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                seen: dict[bytes, int] = {}
                 for k, x in enumerate(_split(t.as_py())):
                     if len(x) >= min_bytes or short and holds_word(x):
                         docs.append(d)
                         nums.append(k)
-                        ids.append(_id(x))
-            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(nums, pa.int32()), pa.array(ids, pa.int64())], names=["doc", "line", "id"])
+                        lines.append(x)
+                        own.append(seen.setdefault(x, k))
+            h = _ids(lines)
+            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(nums, pa.int32()), pa.array(h[:, 0]), pa.array(h[:, 1]), pa.array(own, pa.int32())], names=["doc", "line", "id", "more", "own"])
 
-    return df.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long"), text).mapInArrow(run, "doc long, line int, id long")
+    return df.filter(F.col("__row").isNotNull()).select("__row", text).mapInArrow(run, "doc long, line int, id long, more long, own int")
 
 
-def _distinct(batches: Iterator[pa.RecordBatch], min_bytes: int, column: int, limit: int = 1 << 20) -> Iterator[dict[int, bytes]]:
-    """Lines by id, in parts of about ``limit`` bytes, each line once a part."""
+def _distinct(batches: Iterator[pa.RecordBatch], min_bytes: int, column: int, limit: int = PART_BYTES) -> Iterator[list[bytes]]:
+    """Lines in parts of about ``limit`` bytes, each line once a part."""
     part, size = {}, 0
     for b in batches:
         for t in b.column(column):
             for x in _split(t.as_py()):
-                if len(x) >= min_bytes and (i := _id(x)) not in part:
-                    part[i] = x
+                if len(x) >= min_bytes and x not in part:
+                    part[x] = None
                     size += len(x)
                     if size > limit:
-                        yield part
+                        yield list(part)
                         part, size = {}, 0
     if part:
-        yield part
+        yield list(part)
+
+
+def line_keys(lines: list[bytes], edits: int, rate: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """``(line number, key)`` such that lines within the edits of letters or words share a key."""
+    have = Letters(lines)
+    if not rate:
+        return _keys(have.prefix, have.at, have.size, edits)
+    row, key = word_keys(have.words, have.count, rate)
+    # An edit of a letter is three of words at most (it can split one), so that long lines have links by words alone.
+    few = np.flatnonzero(have.count < rate * 3 * edits + 3 * edits)
+    more = _keys(have.prefix, have.at[few], have.size[few], edits)
+    return np.concatenate([row, few[more[0]]]), np.concatenate([key, more[1]])
+
+
+def _repeated(band: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order that sorts bands, and which places of it hold one that occurs twice."""
+    order = np.argsort(band)
+    same = np.concatenate([[False], np.diff(band[order]) == 0, [False]])
+    return order, same[1:] | same[:-1]
+
+
+def _runs(band: np.ndarray, who: np.ndarray, flag: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Pairs by band and id, each once with its flag if any has it: bands, ids, flags, and where bands begin."""
+    order = np.lexsort((~flag, who, band))
+    band, who, flag = band[order], who[order], flag[order]
+    new = np.append(True, band[1:] != band[:-1])[: len(band)]
+    keep = new | np.append(True, who[1:] != who[:-1])[: len(band)]
+    return band[keep], who[keep], flag[keep], np.flatnonzero(new[keep])
 
 
-def _members(df: DataFrame, text: str, min_bytes: int, edits: int, rate: int | None, turn: int, turns: int) -> DataFrame:
-    """``(band, id)`` of the keys that are ``turn`` modulo ``turns``."""
+def _send_keys(min_bytes: int, edits: int, rate: int | None, parts: int):
+    """Keys of each part of lines, packed by the task that collects them.
+
+    A key that two lines of a part share is settled there: its rows need no
+    exchange and are spread evenly; the collecting task only gets its smallest
+    line.  So a key of a third of all lines arrives there once a part.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashed = _Hasher()
-        for part in _distinct(batches, min_bytes, 0):
-            ids, lines = np.array(list(part), np.int64), list(part.values())
-            if rate:
-                flat, size = hashed(lines)
-                row, key = word_keys(flat, size, rate)
-                # An edit of a letter is three of words at most (it can split one), so that long lines have links by words alone.
-                few = np.flatnonzero(size < rate * 3 * edits + 3 * edits)
-                more = keys([lines[k].decode() for k in few], edits)
-                row, key = np.concatenate([row, few[more[0]]]), np.concatenate([key, more[1]])
-            else:
-                row, key = keys([x.decode() for x in lines], edits)
-            if turns > 1:
-                mine = key % np.uint64(turns) == turn
-                row, key = row[mine], key[mine]
-            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(ids[row])], names=["band", "id"])
-
-    return df.select(text).mapInArrow(run, "band long, id long")
+        for lines in _distinct(batches, min_bytes, 0):
+            row, key = line_keys(lines, edits, rate)
+            ids = _ids(lines)[:, 0]
+            order, again = _repeated(key)
+            band, who, _, start = _runs(key[order[again]], ids[row[order[again]]], np.zeros(int(again.sum()), bool))
+            many = np.diff(np.append(start, len(band)))
+            sure, alone, once = np.repeat(many > 1, many), start[many == 1], order[~again]
+            out: list[tuple[int, bytes]] = []
+            for kind, b, w in ((0, np.append(key[once], band[alone]), np.append(ids[row[once]], who[alone])), (1, band[start[many > 1]], who[start[many > 1]])):
+                task = (b % np.uint64(parts)).astype(np.int32)
+                at = np.argsort(task, kind="stable")
+                cut = np.searchsorted(task[at], np.arange(parts + 1))
+                b, w = b[at], w[at]
+                out += [(k, bytes([kind]) + b[cut[k] : cut[k + 1]].tobytes() + w[cut[k] : cut[k + 1]].tobytes()) for k in range(parts) if cut[k] < cut[k + 1]]
+            rest = np.flatnonzero(sure)
+            first = int(key[0] % np.uint64(parts)) if len(key) else 0
+            out += [((first + i) % parts, b"\2" + band[x].tobytes() + who[x].tobytes()) for i, x in enumerate(np.array_split(rest, max(1, len(rest) >> 14))) if len(x)]
+            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in out], pa.int32()), pa.array([x for _, x in out], pa.binary())], names=["part", "blob"])
+
+    return run
+
+
+def _collect_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of keys with two lines or more.  Repeated pairs are dropped while they are gathered."""
+    give = lambda band, who: pa.RecordBatch.from_arrays([pa.array(band.view(np.int64)), pa.array(who)], names=["band", "id"])
+    have: list[list[np.ndarray]] = [[], [], []]  # bands, ids, whether the band is settled
+
+    def gather() -> tuple[np.ndarray, ...]:
+        band, who, flag = (np.concatenate(x) for x in have)
+        order, again = _repeated(band)
+        once, twice = order[~again], order[again]
+        found = _runs(band[twice], who[twice], flag[twice])
+        for k, (x, y) in enumerate(zip((band, who, flag), found[:3], strict=True)):
+            have[k] = [x[once], y]
+        return found
+
+    size, last = 0, 0
+    for b in batches:
+        for x in b.column(1):
+            raw = x.as_py()
+            both = np.frombuffer(raw, "<u8", offset=1).reshape(2, -1)
+            band, who = both[0], both[1].view(np.int64)
+            if raw[0] == 2:
+                yield give(band, who)
+                continue
+            for k, y in enumerate((band, who, np.full(len(band), raw[0] == 1))):
+                have[k].append(y)
+            size += len(band)
+            if size > 2 * last + (1 << 21):
+                gather()
+                size = last = sum(map(len, have[0]))
+    if size:
+        band, who, flag, start = gather()
+        if len(band):  # a settled band that came once has all its rows out already
+            many = np.diff(np.append(start, len(band)))
+            more = (many > 1) | np.logical_or.reduceat(flag, start)
+            keep = np.flatnonzero(np.repeat(more, many))
+            for i in range(0, len(keep), 1 << 17):
+                yield give(band[keep[i : i + (1 << 17)]], who[keep[i : i + (1 << 17)]])
+
+
+def _shared(df: DataFrame, text: str, min_bytes: int, edits: int, rate: int | None) -> DataFrame:
+    """``(band, id)`` of the keys that two lines or more share; a row can come more than once."""
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.select(text).mapInArrow(_send_keys(min_bytes, edits, rate, tasks), "part int, blob binary").repartition(tasks, "part").mapInArrow(_collect_keys, "band long, id long")
 
 
 def _odd(cell: np.ndarray, owner: np.ndarray, lines: int, wide: int) -> np.ndarray:
     """Whether each of ``wide`` classes occurs an odd number of times in a line, as bits of ``wide // 64`` numbers."""
-    odd = np.bincount(owner * wide + cell, minlength=wide * lines).reshape(lines, wide) & 1
+    odd = np.bincount(owner * wide + cell.astype(np.int64), minlength=wide * lines).reshape(lines, wide) & 1
     return np.packbits(odd.astype(np.uint8), axis=1).view(np.int64)
 
 
-def parities(lines: list[str]) -> np.ndarray:
-    """Whether characters and pairs of them occur an odd number of times, in 64 classes each; one row a line.
+def parities(have: Letters) -> np.ndarray:
+    """Parities of characters and pairs of them, in 64 classes each, and of words in ``CLASSES``.
 
-    One edit changes at most two classes of characters and four of pairs, which
-    bounds the edits between two lines from below.
+    One edit of a character changes at most two classes of characters and four of
+    pairs, one of a word two classes of words, which bounds the edits between two
+    lines from below.  The first, second, ... occurrence of a word count as
+    different words, so that repeated ones don't cancel out.
     """
-    a = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32).astype(np.int64)
-    owner = np.repeat(np.arange(len(lines)), [len(x) for x in lines])
-    inside = owner[1:] == owner[:-1]
-    pair = (a[:-1] * 31 + a[1:] * 17) & 63
-    return np.concatenate([_odd(a & 63, owner, len(lines), 64), _odd(pair[inside], owner[1:][inside], len(lines), 64)], axis=1)
-
+    lines = len(have.size)
+    owner = np.repeat(np.arange(lines), have.size + 1)
+    inside = have.flat != 10
+    a = have.flat.astype(np.int64)
+    pair = inside[:-1] & inside[1:]
+    who = np.repeat(np.arange(lines), have.count)
+    value = np.sort(who.astype(np.uint64) << np.uint64(40) | have.words >> np.uint64(24))  # a part has less than 2**24 lines
+    new = np.flatnonzero(np.append(True, value[1:] != value[:-1])[: len(value)])
+    rank = np.arange(len(value)) - np.repeat(new, np.diff(np.append(new, len(value))))
+    cell = _mix((value & np.uint64((1 << 40) - 1)) + rank.astype(np.uint64) * _BASE) % np.uint64(CLASSES)
+    return np.concatenate([_odd((a & 63)[inside], owner[inside], lines, 64), _odd(((a[:-1] * 31 + a[1:] * 17) & 63)[pair], owner[:-1][pair], lines, 64), _odd(cell, who, lines, CLASSES)], axis=1)
+
+
+def _texts(df: DataFrame, text: str, min_bytes: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lines in _distinct(batches, min_bytes, 0):
+            h = _ids(lines)
+            yield pa.RecordBatch.from_arrays([pa.array(h[:, 0]), pa.array(h[:, 1]), pa.array(lines, pa.binary())], names=["id", "more", "bytes"])
 
-def word_parities(flat: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Whether words occur an odd number of times, in 128 classes: two numbers a line; an edit changes two classes at most."""
-    return _odd((flat >> np.uint64(57)).astype(np.int64), np.repeat(np.arange(len(size)), size), len(size), 128)
+    return df.select(text).mapInArrow(run, "id long, more long, bytes binary")
 
 
-def _texts(df: DataFrame, text: str, min_bytes: int, rate: int | None) -> DataFrame:
-    """Distinct lines with what bounds their edits: ``n`` characters, ``w`` words, ``t`` word edits, and parities."""
+def _bounds(texts: DataFrame, rate: int | None) -> DataFrame:
+    """Adds what bounds the edits of lines: ``n`` characters, ``w`` words, ``t`` word edits, and parities."""
+    names = [f"p{k}" for k in range(2 + CLASSES // 64)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashed = _Hasher()
-        for part in _distinct(batches, min_bytes, 0):
-            lines = list(part.values())
-            texts = [x.decode() for x in lines]
-            odd = parities(texts)
-            flat, size = hashed(lines) if rate else (np.empty(0, np.uint64), np.zeros(len(lines), np.int64))
-            words = word_parities(flat, size)
-            most = [word_edits(x, rate) if rate else 0 for x in size.tolist()]
-            sizes = [pa.array([len(x) for x in texts], pa.int32()), pa.array(size, pa.int32()), pa.array(most, pa.int32())]
-            yield pa.RecordBatch.from_arrays([pa.array(list(part), pa.int64()), pa.array(lines, pa.binary()), *sizes, *[pa.array(x) for x in (*odd.T, *words.T)]], names=["id", "bytes", "n", "w", "t", "p1", "p2", "p3", "p4"])
+        for whole in batches:
+            for k in range(0, whole.num_rows, 2000):
+                b = whole.slice(k, 2000)
+                lines = b.column(2).to_pylist()
+                have = Letters(lines)
+                odd = parities(have)
+                most = [word_edits(x, rate) if rate else 0 for x in have.count.tolist()]
+                sizes = [pa.array(have.size.astype(np.int32)), pa.array(have.count.astype(np.int32)), pa.array(most, pa.int32())]
+                yield pa.RecordBatch.from_arrays([*b.columns, *sizes, *[pa.array(x) for x in odd.T]], names=["id", "more", "bytes", "n", "w", "t", *names])
 
-    return df.select(text).mapInArrow(run, "id long, bytes binary, n int, w int, t int, p1 long, p2 long, p3 long, p4 long")
+    return texts.select("id", "more", "bytes").mapInArrow(run, "id long, more long, bytes binary, n int, w int, t int, " + ", ".join(f"{x} long" for x in names))
 
 
 def linked(a: bytes, b: bytes, edits: int, rate: int | None = None) -> bool:
@@ -373,40 +490,47 @@ def _near(pairs: DataFrame, edits: int, rate: int | None) -> DataFrame:
     return pairs.select("x", "y", "tx", "ty").mapInArrow(run, "u long, v long")
 
 
-def line_classes(df: DataFrame, edits: int = EDITS, min_bytes: int = MIN_BYTES, id_col: str = "doc_id", text: str = "text", rate: int | None = None, short: bool = False) -> DataFrame:
-    """``(doc, line, id, component, first)`` of every line that is long enough or, with ``short``, holds a word.
+def repeated_lines(df: DataFrame, edits: int = EDITS, min_bytes: int = MIN_BYTES, text: str = "text", rate: int | None = None, short: bool = False) -> DataFrame:
+    """``(doc, line, first_doc, first_line)`` of every line that goes, and the line of its class that stays.
 
-    ``component`` is the class of linked lines, ``first`` whether this is the
-    occurrence that stays.  Null texts and null ids have no lines here.
+    ``df`` has a column ``__row``, a number of its own for each row in document
+    order (see ``numbered``); null texts and null numbers have no lines here.
     """
     if min_bytes < 2 * edits + 1:
         raise ValueError("lines must be longer than twice the edits")
     if rate is not None and _run(2, rate) < SHINGLE:
         raise ValueError("too many word edits for their length")
-    where = materialize(_occurrences(df, id_col, text, min_bytes, short), "lines")
-    with_id = df.filter(F.col(id_col).isNotNull())
-    turns = PASSES if rate else 1
-    bucket = reduce(DataFrame.union, [shared_buckets(_members(with_id, text, min_bytes, edits, rate, turn, turns)) for turn in range(turns)])
+    with_row = df.filter(F.col("__row").isNotNull())
+    keys_ = materialize(_shared(with_row, text, min_bytes, edits, rate).distinct(), "keys")
+    bucket = shared_buckets(keys_)
+    discard(keys_)
     some = bucket.select("id").distinct()
-    texts = materialize(_texts(with_id, text, min_bytes, rate).join(some, "id", "left_semi").dropDuplicates(["id"]), "linetext")
+    texts = materialize(_bounds(_texts(with_row, text, min_bytes).join(some, "id", "left_semi").dropDuplicates(["id"]), rate), "linetext")
 
-    def confirm(pairs: DataFrame) -> DataFrame:
-        side = lambda s: texts.select(F.col("id").alias(s), F.col("bytes").alias(f"t{s}"))
+    def confirm(pairs: DataFrame, whole: DataFrame) -> DataFrame:
+        side = lambda s: whole.select(F.col("id").alias(s), F.col("bytes").alias(f"t{s}"))
         return _near(pairs.join(side("x"), "x").join(side("y"), "y"), edits, rate)
 
     def near(x: str, y: str) -> Column:
         flips = lambda c: F.bit_count(F.col(f"{x}{c}").bitwiseXOR(F.col(f"{y}{c}")))
-        letters = (F.abs(F.col(f"{x}n") - F.col(f"{y}n")) <= edits) & (flips("p1") <= 2 * edits) & (flips("p2") <= 4 * edits)
+        letters = (F.abs(F.col(f"{x}n") - F.col(f"{y}n")) <= edits) & (flips("p0") <= 2 * edits) & (flips("p1") <= 4 * edits)
         if not rate:
             return letters
         most = F.least(f"{x}t", f"{y}t")
-        return letters | ((most > 0) & (F.abs(F.col(f"{x}w") - F.col(f"{y}w")) <= most) & (flips("p3") + flips("p4") <= 2 * most))
-
-    label = link_buckets(bucket, confirm, texts.drop("bytes"), near)
-    tagged = where.join(label, "id", "left").select("doc", "line", "id", F.coalesce("component", "id").alias("component"))
-    tagged = materialize(tagged, "tagged")
-    first = tagged.groupBy("component").agg(F.min(F.struct("doc", "line")).alias("f"))
-    return tagged.join(first, "component").select("doc", "line", "id", "component", (F.struct("doc", "line") == F.col("f")).alias("first"))
+        return letters | ((most > 0) & (F.abs(F.col(f"{x}w") - F.col(f"{y}w")) <= most) & (sum((flips(f"p{k}") for k in range(2, 2 + CLASSES // 64)), F.lit(0)) <= 2 * most))
+
+    # The half of the hash that `more` holds tells lines apart that share the other; one of them was linked.
+    label = link_buckets(bucket, texts.drop("bytes", "more"), near, confirm, texts.select("id", "bytes"))
+    linked_ids = materialize(label.join(texts.select("id", "more"), "id"), "label", drop=(label, texts))
+    where = materialize(_occurrences(with_row, text, min_bytes, short), "lines")
+    once = where.filter("line = own")
+    classes = once.groupBy("id", "more").agg(F.min("doc").alias("fd"), F.min_by("line", "doc").alias("fl"), F.count("*").alias("c")).join(linked_ids, ["id", "more"], "left").filter("c > 1 or component is not null")
+    classes = materialize(classes, "class", drop=(linked_ids,))
+    near_first = classes.filter("component is not null").groupBy("component").agg(F.min(F.struct("fd", "fl")).alias("first"))
+    found = classes.join(near_first, "component", "left").select("id", "more", F.coalesce("first", F.struct("fd", "fl")).alias("first"))
+    kept = F.coalesce("first", F.struct(F.col("doc").alias("fd"), F.col("own").alias("fl")))
+    gone = where.join(found, ["id", "more"], "left").select("doc", "line", kept.alias("first")).filter(F.struct("doc", "line") != F.col("first"))
+    return gone.select("doc", "line", F.col("first.fd").alias("first_doc"), F.col("first.fl").alias("first_line"))
 
 
 def dedup_lines(df: DataFrame, edits: int = EDITS, min_bytes: int = MIN_BYTES, id_col: str = "doc_id", text: str = "text", rate: int | None = None, short: bool = False) -> DataFrame:
@@ -414,12 +538,13 @@ def dedup_lines(df: DataFrame, edits: int = EDITS, min_bytes: int = MIN_BYTES, i
 
     Null texts stay null (no lines), as do rows with a null id, which are left
     alone.  A text of which every line goes becomes empty.  Rows that share an id
-    lose the same line numbers.  An empty table stays empty; columns named like
-    the new ones are replaced.
+    are documents of their own, in the order of a hash of their texts; of rows that
+    are equal one stays whole.  An empty table stays empty; columns named like the
+    new ones are replaced.
     """
-    gone = line_classes(df, edits, min_bytes, id_col, text, rate, short).filter(~F.col("first")).groupBy(F.col("doc").alias("__doc")).agg(F.collect_set("line").alias("__gone"))
-    df = df.drop("n_lines", "n_removed")
-    out = df.join(gone, F.col(id_col) == F.col("__doc"), "left")
+    df, _ = numbered(df.drop("n_lines", "n_removed"), id_col, text)
+    gone = repeated_lines(df, edits, min_bytes, text, rate, short).groupBy(F.col("doc").alias("__doc")).agg(F.collect_set("line").alias("__gone"))
+    out = df.join(gone, F.col("__row") == F.col("__doc"), "left")
     lines = F.split(text, "\n", -1)
     left = F.when(F.col("__gone").isNull(), F.col(text)).otherwise(F.array_join(F.filter(lines, lambda x, k: ~F.array_contains("__gone", k)), "\n"))
-    return out.select(*[left.alias(text) if c == text else F.col(c) for c in df.columns], F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"), F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("n_removed"))
+    return out.select(*[left.alias(text) if c == text else F.col(c) for c in df.columns if c != "__row"], F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"), F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("n_removed"))
