@@ -187,20 +187,27 @@ def held_out(doc_id: str | Column = "doc_id") -> Column:
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, id_col: str = "doc_id", text: str = "text", label: str = "quality") -> Model:
     """Learns from at most ``max_rows`` labelled rows that aren't held out.
 
-    Rows are the first by a hash of their id.  Of repeated labels of an id the
-    lowest counts; null labels and ids are left out.  With one class only, or
+    Rows are the first by a hash of their id; where ids repeat in ``docs``, the
+    first ``2 * max_rows`` rows of those ids in that order.  Of repeated labels of
+    an id the lowest counts; null labels and ids are left out.  With one class only, or
     fewer than 20 rows, the model is the smoothed share of label 1.
     """
     known = labels.filter(F.col(label).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col)).groupBy(id_col).agg(F.min(label).alias("__y"))
     sample = known.orderBy(F.xxhash64(id_col), id_col).limit(max_rows)
     rows, names = statistics(docs.select(id_col, text).join(F.broadcast(sample), id_col), text)  # max_rows ids
-    got = rows.select(id_col, "__y", *names).limit(2 * max_rows).collect()
+    got = rows.select(id_col, "__y", *names).orderBy(F.xxhash64(id_col), id_col, *names).limit(2 * max_rows).collect()
     got.sort(key=lambda r: tuple(r))
     x = np.array([r[2:] for r in got], dtype=float).reshape(len(got), len(names))
     return fit_rules(x, np.array([float(r[1] == 1) for r in got]), names)
 
 
 def classify(docs: DataFrame, model: Model, text: str = "text", cut: float = 0.7) -> DataFrame:
-    """Adds ``score`` (0 to 1) and ``predicted`` (1 from ``cut`` on) to every row, empty and null texts too."""
+    """Adds ``score`` (0 to 1) and ``predicted`` (1 from ``cut`` on) to every row, empty and null texts too.
+
+    Repeated rows get the same score; an empty table stays empty; columns named like
+    the new ones are replaced.  The score passes a generator of one row: a filter on
+    it isn't pushed below, where each rule would compute its statistics again.
+    """
     rows, names = statistics(docs.drop("score", "predicted"), text)
-    return rows.withColumn("score", model.score()).withColumn("predicted", (F.col("score") >= cut).cast("int")).drop(*names)
+    scored = rows.withColumn("__s", model.score()).drop(*names)
+    return scored.select("*", F.explode(F.array("__s")).alias("score")).drop("__s").withColumn("predicted", (F.col("score") >= cut).cast("int"))
