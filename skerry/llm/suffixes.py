@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..scratch import materialize
+from .common import numbered
 
 LENGTH, K = 100, 40
 REACH = LENGTH - K  # largest offset of an anchor in its window; at most 62, as offsets are bits
@@ -497,15 +498,16 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text: str = "text", ke
     """Per row: id, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256``; with ``keep`` also ``kept``, the bytes left.
 
     Matches are judged on the input and never cross documents; texts shorter
-    than 100 bytes lose nothing; null counts as empty.  Ids are expected to be
-    unique: rows that share an id are judged as that many documents at one place
-    in the order, and get all repeats found for the id.  A row with a null id is
-    left whole and matches nothing.  An empty table stays empty.
+    than 100 bytes lose nothing; null counts as empty.  Rows that share an id are
+    documents of their own, in the order of a hash of their texts: of rows that are
+    equal one stays whole.  A row with a null id is left whole and matches nothing.
+    An empty table stays empty; only the two columns are read.
     """
     spark = df.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     parts = PARTS_PER_TASK * tasks
-    docs = df.select(F.col(id_col).cast("long").alias("__id"), F.col(text).alias("__text"))
+    rows, repeated = numbered(df.select(id_col, text), id_col, text)
+    docs = rows.select(F.col("__row").alias("__id"), F.col(text).alias("__text"))
     real = docs.filter("__id is not null")
     splits = _splitters(real, parts)
     found = real.mapInArrow(_send_hashes(parts), "part int, blob binary").repartition(tasks, "part").mapInArrow(_repeated, "doc long, place long, low smallint, high smallint")
@@ -519,5 +521,8 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text: str = "text", ke
     some = stored.filter("kind = 1").select("doc", "blob").join(spans, "doc", "left").mapInArrow(_finish, "doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     none = F.lit(0).cast("long")
     whole = stored.filter("kind = 0").select("doc", F.col("place").alias("n_bytes"), none.alias("n_removed"), none.alias("n_spans"), F.sha2("blob", 256).alias("kept_sha256") if keep else F.lower(F.hex("blob")).alias("kept_sha256"), F.col("blob").alias("kept"))
-    out = some.union(whole).withColumnRenamed("doc", id_col)
+    out = some.union(whole)
+    if repeated:  # null ids have no number, and keep none
+        out = out.join(rows.select(F.col("__row").alias("doc"), F.col(id_col).alias("__of")).filter("doc is not null"), "doc", "left").withColumn("doc", F.col("__of")).drop("__of")
+    out = out.withColumn("doc", F.col("doc").cast(df.schema[id_col].dataType)).withColumnRenamed("doc", id_col)
     return out if keep else out.drop("kept")
