@@ -31,6 +31,8 @@ from .common import literal_rows
 CELL_ROWS, MIN_CELLS = 200_000, 256
 #: Patterns that the driver's flow network may have; more is an error, not a cut.
 MAX_PATTERNS = 100_000
+#: Patterns of which some name several sources: these go through a flow on the driver.
+MAX_OVERLAPPING = 2_000
 
 
 def water_fill(sizes: Sequence[float], weights: Sequence[float], total: float, repeat: float) -> list[float]:
@@ -60,6 +62,11 @@ def route(patterns: Sequence[tuple[Sequence[int], int]], quotas: Sequence[int],
     capacity; a quota left open costs more than any reading.  Returns for each
     pattern the tokens that it gives to each source.
     """
+    alone = [members[0] for members, _ in patterns if len(set(members)) == 1]
+    if len(set(alone)) == len(patterns):  # no overlap: each source has documents of its own only
+        return [{s: min(quotas[s], readings * size)} for s, (_, size) in zip(alone, patterns, strict=True)]
+    if len(patterns) > MAX_OVERLAPPING:
+        raise ValueError(f"more than {MAX_OVERLAPPING} patterns of overlapping sources")
     n, m = len(patterns), len(quotas)
     start, end = n + m, n + m + 1
     edges: list[list] = []  # [to, room, cost]; edge i's reverse is i ^ 1
@@ -131,9 +138,10 @@ def select(df: DataFrame, key: str, size: str, pattern: str, flow: dict[int, int
     gaps = literal_rows(spark, sorted(open_.items()), "__g int,__gap long")
     near = F.abs(F.col(size) - F.col("__gap"))
     free = ranked.filter(~F.col("__fits")).join(F.broadcast(gaps), F.col(pattern) == F.col("__g"))
-    best = free.filter(near < F.col("__gap")).groupBy("__g").agg(F.min(F.struct(near.alias("d"), F.col("__h").alias("h"), F.col(key).alias("k"))).alias("b"))
+    best = free.filter(near < F.col("__gap")).groupBy("__g").agg(F.min(F.struct(near.alias("d"), F.col("__h").alias("h"), F.col("__sum").alias("k"))).alias("b"))
+    # Rows that are equal differ by their running sums, so one row is picked; rows of size 0 never are.
     picks = best.select(F.col("__g").alias("__bp"), F.col("b.h").alias("__bh"), F.col("b.k").alias("__bk"))
-    ranked = ranked.join(F.broadcast(picks), (F.col(pattern) == F.col("__bp")) & (F.col("__h") == F.col("__bh")) & F.col(key).eqNullSafe(F.col("__bk")) & ~F.col("__fits"), "left")
+    ranked = ranked.join(F.broadcast(picks), (F.col(pattern) == F.col("__bp")) & (F.col("__h") == F.col("__bh")) & (F.col("__sum") == F.col("__bk")) & ~F.col("__fits"), "left")
     more = (F.col("__fits") & (rest > 0)) | F.col("__bp").isNotNull()
     return ranked.select(*df.columns, (F.coalesce("__whole", F.lit(0)) + more.cast("int")).alias("copies"))
 

@@ -130,6 +130,14 @@ def test_mix_comes_near_its_targets_and_repeats_nothing_thrice(spark):
     assert mixing.mix_documents(df.limit(0)).count() == 0
 
 
+def test_mix_of_equal_rows_and_clashing_columns(spark):
+    rows = [(k % 3, "a", 10, "x") for k in range(204)] + [(k, "b", 5, "y") for k in range(100, 180)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, size long, target string").drop("target").withColumn("cell", F.lit(1))
+    for source, most in (("a", 10), ("b", 5)):
+        own = mixing.mix_documents(df).filter(F.col("source") == source).collect()
+        assert abs(sum(r["copies"] * r["size"] for r in own) - own[0]["target"]) <= most
+
+
 def test_mix_of_overlapping_sources(spark):
     rows = [(k, ["a", "b"] if k % 3 else ["a"] if k % 2 else [], 10) for k in range(90)]
     df = spark.createDataFrame(rows, "doc_id long, who array<string>, size long")
