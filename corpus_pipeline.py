@@ -10,6 +10,7 @@ written, a stage first deletes the scratch tables of the stage before it.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable
 from functools import wraps
 
@@ -30,6 +31,7 @@ _left: list[str] = []
 def _stage(f: Callable) -> Callable:
     @wraps(f)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        gc.collect()  # frames in cycles hold plans in the driver's JVM
         release(spark, _left, unless_read_by=docs)
         before = written()
         out = f(spark, docs, sf_dir)
