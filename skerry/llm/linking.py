@@ -11,6 +11,7 @@ a bucket is either inside one component or compared, so no link is lost.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -97,6 +98,7 @@ def link_buckets(bucket: DataFrame, info: DataFrame, near: Callable[[str, str],
         found = materialize(label.select(F.col("id").alias("u"), F.col("component").alias("v")).union(more), "link", drop=(label,))
         label = components(found)
         discard(found)
+        gc.collect()  # frames in cycles hold plans in the driver's JVM
         large = mixed.drop("tag", "main")
         large._scratch = mixed._scratch
     discard(rows, large, *(() if some is None else (some,)))
