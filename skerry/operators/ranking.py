@@ -19,6 +19,23 @@ def hash_cell(cells: int, *cols: str | Column) -> Column:
     return F.pmod(F.xxhash64(*cols), F.lit(cells)).cast("int")
 
 
+def value_cell(df: DataFrame, column: str, cells: int) -> Column:
+    """A cell number that follows the order of a column of whole numbers or text; nulls share the first.
+
+    Numbers are cut at ``cells`` even quantiles (bounds of which come from sketches),
+    text at its first two bytes.
+    """
+    kind = df.schema[column].dataType.typeName()
+    if kind == "string":
+        byte = lambda k: F.coalesce(F.ascii(F.substring(F.hex(column), 2 * k + 1, 1)) * 128 + F.ascii(F.substring(F.hex(column), 2 * k + 2, 1)), F.lit(0))
+        return (F.coalesce(byte(0), F.lit(0)) * 32_768 + byte(1)).cast("int")
+    bounds = df.stat.approxQuantile(column, [k / cells for k in range(1, cells)], 0.01)
+    cell = F.lit(0)
+    for b in sorted(set(bounds)):
+        cell = cell + F.coalesce(F.col(column) > b, F.lit(False)).cast("int")
+    return cell
+
+
 def rank_in_cells(df: DataFrame, keys: Sequence[str], cell: str, order: Sequence[str | Column], out: str, weight: str | None = None) -> DataFrame:
     """Adds ``out``: the 0-based place of a row among the rows of its key.
 

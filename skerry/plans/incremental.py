@@ -5,7 +5,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..scratch import materialize
+from ..scratch import materialize, new_path
 from ..session import table
 from ..sources import manifests, sinks, tiles
 from ..streaming import events as streams
@@ -63,9 +63,7 @@ def str10b_streaming_ledger_state(spark: SparkSession, sf_dir: str) -> DataFrame
 @query("snk01_chunked_writer", "SELECT count(*) AS n_rows, count(DISTINCT l_orderkey) AS images FROM lineitem")
 def snk01_chunked_writer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What comes back from parts of at most 10,000 rows."""
-    from ..scratch import shared_dir
-
-    path = f"{shared_dir(spark)}/skerry/chunked-{uuid.uuid4().hex}"
+    path = new_path(spark, "chunked")
     sinks.write_chunked(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber"), path, 10_000)
     return spark.read.parquet(path).agg(F.count("*").alias("n_rows"), F.countDistinct("l_orderkey").alias("images"))
 

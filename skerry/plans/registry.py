@@ -25,6 +25,18 @@ def query(name: str, sql: str | None = None) -> Callable[[Plan], Plan]:
     return put
 
 
+def scalable(name: str) -> Callable[[Plan], Plan]:
+    """Another plan for a registered query; its SQL stays the oracle."""
+
+    def put(plan: Plan) -> Plan:
+        if name not in ORACLES:
+            raise ValueError(f"query {name} has no SQL yet")
+        QUERIES[name] = plan
+        return plan
+
+    return put
+
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 

@@ -33,6 +33,13 @@ def shared_dir(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that ``release`` deletes."""
+    path = f"{shared_dir(spark)}/skerry/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
 def materialize(df: DataFrame, name: str = "t", drop: tuple[DataFrame, ...] = ()) -> DataFrame:
     """Write ``df`` once into the shared folder and return a scan of it; then ``discard`` the frames of ``drop``.
 
@@ -42,9 +49,8 @@ def materialize(df: DataFrame, name: str = "t", drop: tuple[DataFrame, ...] = ()
     spark = df.sparkSession
     if spark.conf.get(_CLEAN, "false") != "true":
         spark.conf.set(_CLEAN, "true")
-    path = f"{shared_dir(spark)}/skerry/{name}-{uuid.uuid4().hex}"
+    path = new_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    _written.append(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch = path
     discard(*drop)

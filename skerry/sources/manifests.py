@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import time
+from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -71,15 +73,10 @@ def rows_by_file(df: DataFrame) -> DataFrame:
 
 def with_row_index(df: DataFrame, order: Sequence[str]) -> DataFrame:
     """Adds a gapless ``row_index`` in a declared order."""
-    from ..operators.ranking import rank_in_cells
+    from ..operators.ranking import rank_in_cells, value_cell
 
-    n = 64
-    keyed = df.withColumn("__all", F.lit(0))
-    bounds = keyed.select(order[0]).stat.approxQuantile(order[0], [k / n for k in range(1, n)], 0.01) if dict(df.dtypes)[order[0]] in ("bigint", "int", "double") else []
-    cell = F.lit(0)
-    for b in sorted(set(bounds)):
-        cell = cell + (F.col(order[0]) > b).cast("int")
-    return rank_in_cells(keyed.withColumn("__cell", cell), ["__all"], "__cell", order, "row_index").drop("__all", "__cell")
+    keyed = df.withColumn("__all", F.lit(0)).withColumn("__cell", value_cell(df, order[0], 64))
+    return rank_in_cells(keyed, ["__all"], "__cell", order, "row_index").drop("__all", "__cell")
 
 
 def read_grid(spark: SparkSession, path: str) -> DataFrame:
@@ -98,6 +95,28 @@ def read_json_map(spark: SparkSession, path: str, value_ddl: str = "STRING") ->
     return spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", f"MAP<STRING, {value_ddl}>")).alias("key", "value"))
 
 
+def read_documents(spark: SparkSession, path: str, ddl: str) -> DataFrame:
+    """JSON documents of several lines, one a file; what is no document is dropped."""
+    want = schema(f"{ddl}, __bad STRING")
+    df = spark.read.schema(want).option("multiLine", True).option("columnNameOfCorruptRecord", "__bad").option("recursiveFileLookup", True).json(path)
+    return df.filter("__bad is null").drop("__bad")
+
+
+def read_or_else(read: Callable[[], DataFrame], other: Callable[[], DataFrame], tries: int = 5, wait: float = 1.0) -> tuple[DataFrame, bool]:
+    """What ``read`` returns, tried up to ``tries`` times, ``wait`` seconds apart; else ``other``, and whether it stands in."""
+    for k in range(tries):
+        try:
+            return read(), False
+        except AnalysisException:
+            time.sleep(wait if k + 1 < tries else 0)
+    return other(), True
+
+
+def digit_stems(files: DataFrame) -> DataFrame:
+    """A listing with ``id``: the stem where it is all digits, else null."""
+    return files.withColumn("id", F.when(F.col("stem").rlike("^[0-9]+$"), F.col("stem").try_cast("bigint")))
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Distinct trimmed lines without blanks and ``#`` comments."""
     line = F.trim(F.regexp_replace("value", "#.*$", ""))

@@ -32,32 +32,52 @@ def write_by_parent(df: DataFrame, path: str, column: str, kind: str = "parquet"
 
 
 def swap_verified(df: DataFrame, path: str, expect_rows: int | None = None) -> int:
-    """Writes beside ``path``, counts what was written, and only then takes its place.
+    """Writes a new version beside the others, counts what was written, and only then makes it the table.
 
     Returns the rows.  A count other than expected leaves ``path`` as it was.
+    Versions are folders of ``path``; the one with the largest number that has a
+    mark beside it is the table.  A mark is made in one step after its version is
+    whole, so a crash at any time leaves the version before.
     """
-    spark, stage = df.sparkSession, f"{path}.stage-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    fs, root = _fs(spark, path)
+    now = _version(spark, path)
+    stage = f"{path}/v{now + 1:09d}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(stage)
-    fs, target = _fs(spark, path)
-    _, staged = _fs(spark, stage)
     n = spark.read.parquet(stage).count()
     if expect_rows is not None and n != expect_rows:
-        fs.delete(staged, True)
+        fs.delete(_fs(spark, stage)[1], True)
         raise ValueError(f"{n} rows were written, {expect_rows} expected; {path} is unchanged")
-    _, old = _fs(spark, f"{path}.old-{uuid.uuid4().hex}")
-    if fs.exists(target):
-        fs.rename(target, old)
-    fs.rename(staged, target)
-    fs.delete(old, True)
+    fs.create(_fs(spark, f"{stage}.done")[1], False).close()
+    for kind in fs.listStatus(root):  # older versions, marks first
+        name = kind.getPath().getName()
+        if name.endswith(".done") and int(name[1:10]) <= now:
+            fs.delete(kind.getPath(), False)
+            fs.delete(_fs(spark, f"{path}/{name.removesuffix('.done')}")[1], True)
     return n
 
 
+def _marks(spark: SparkSession, path: str) -> list[str]:
+    fs, root = _fs(spark, path)
+    names = [x.getPath().getName() for x in fs.listStatus(root)] if fs.exists(root) else []
+    return sorted(x.removesuffix(".done") for x in names if x.endswith(".done"))
+
+
+def _version(spark: SparkSession, path: str) -> int:
+    marks = _marks(spark, path)
+    return int(marks[-1][1:10]) if marks else 0
+
+
+def read_swapped(spark: SparkSession, path: str) -> DataFrame:
+    """The table that ``swap_verified`` made last, whatever an interrupted one left beside it."""
+    return spark.read.parquet(f"{path}/{_marks(spark, path)[-1]}")
+
+
 def merge_archive(df: DataFrame, path: str, keys: Sequence[str], order: Sequence[str]) -> int:
     """Adds rows to an archive and keeps the first of each key, old rows before new ones."""
     spark = df.sparkSession
-    fs, target = _fs(spark, path)
     new = df.withColumn("__age", F.lit(1))
-    both = spark.read.parquet(path).withColumn("__age", F.lit(0)).unionByName(new, allowMissingColumns=True) if fs.exists(target) else new
+    both = read_swapped(spark, path).withColumn("__age", F.lit(0)).unionByName(new, allowMissingColumns=True) if _marks(spark, path) else new
     return swap_verified(keep_first(both, keys, ["__age", *order]).drop("__age"), path)
 
 

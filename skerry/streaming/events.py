@@ -54,16 +54,15 @@ def ledger_state(events: DataFrame, key: str = "key") -> DataFrame:
 
 
 def upsert_latest(path: str, keys: list[str], order: list[str]):
-    """A ``foreachBatch`` body that keeps the latest row of each key in the table at ``path``.
+    """A ``foreachBatch`` body that keeps the latest row of each key in the table at ``path`` (see ``read_swapped``).
 
     Replaying a batch gives the same table, so a restart is harmless.
     """
-    from ..sources.sinks import _fs, swap_verified
+    from ..sources.sinks import _marks, read_swapped, swap_verified
 
     def body(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
-        fs, target = _fs(spark, path)
-        both = spark.read.parquet(path).unionByName(batch) if fs.exists(target) else batch
+        both = read_swapped(spark, path).unionByName(batch) if _marks(spark, path) else batch
         swap_verified(latest(both, keys, order), path)
 
     return body
@@ -97,9 +96,19 @@ def signature(df: DataFrame, columns: list[str]) -> str:
 
 
 def replay(df: DataFrame, name: str, mode: str = "complete") -> DataFrame:
-    """Runs a streaming frame over what is there now and returns its result; for tests and backfills."""
-    spark = df.sparkSession
-    q = df.writeStream.outputMode(mode).format("memory").queryName(name).trigger(availableNow=True).start()
-    q.awaitTermination(600)
-    q.stop()
-    return spark.table(name)
+    """Runs a streaming frame over all that is there now and returns its result, from the shared folder.
+
+    A complete result replaces the one of the batch before; updates are added up,
+    a batch that runs again replacing its own.
+    """
+    from ..scratch import new_path
+
+    spark, path = df.sparkSession, new_path(df.sparkSession, name)
+
+    def put(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(path if mode == "complete" else f"{path}/batch={number}")
+
+    q = df.writeStream.outputMode(mode).foreachBatch(put).option("checkpointLocation", new_path(spark, f"{name}-state")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    spark.createDataFrame([], df.schema).write.mode("append").parquet(path if mode == "complete" else f"{path}/batch=-1")
+    return spark.read.schema(df.schema).parquet(path)
