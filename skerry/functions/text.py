@@ -9,8 +9,8 @@ CELL = r"^(.+)_(-?\d+(?:\.\d+)?)_(-?\d+(?:\.\d+)?)_(-?\d+(?:\.\d+)?)_(-?\d+(?:\.
 
 
 def sanitise(name: Column) -> Column:
-    """A safe name: ``&`` becomes ``and``, other signs ``_``, none at the ends."""
-    return F.regexp_replace(F.regexp_replace(F.replace(name, F.lit("&"), F.lit("and")), r"[^\w]+", "_"), "^_+|_+$", "")
+    """A safe name: ``&`` becomes ``and``, each sign but ``-`` and ``.`` a ``_``, none at the ends."""
+    return F.regexp_replace(F.regexp_replace(F.replace(name, F.lit("&"), F.lit("and")), r"(?U)[^\w.-]", "_"), "^_+|_+$", "")
 
 
 def parse_cell(name: Column) -> Column:

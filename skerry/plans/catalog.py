@@ -94,10 +94,10 @@ sql("inv07_intake_contract", f"WITH {DET_ROWS} SELECT count(*) FILTER (WHERE ima
 sql("inv08_part_row_counts", "WITH p AS (SELECT l_orderkey AS part, count(*) AS n, count(DISTINCT l_linenumber) AS d, min(l_linenumber) AS lo, max(l_linenumber) AS hi FROM {lineitem} GROUP BY l_orderkey) SELECT count(*) FILTER (WHERE n <> hi - lo + 1) AS wrong_count, count(*) FILTER (WHERE d <> hi - lo + 1) AS gaps FROM p")
 sql("inv10_work_list_equals_catalog", "WITH w AS (SELECT l_orderkey AS k, count(DISTINCT l_linenumber) AS n FROM {lineitem} GROUP BY 1), c AS (SELECT o_orderkey AS k, 1 AS n FROM {orders}) SELECT coalesce(w.k, c.k) AS cell, coalesce(w.n, 0) - coalesce(c.n, 0) AS delta FROM w FULL OUTER JOIN c ON w.k = c.k WHERE coalesce(w.n, 0) <> coalesce(c.n, 0)", "WITH w AS (SELECT l_orderkey AS k, count(DISTINCT l_linenumber) AS n FROM {lineitem} GROUP BY 1), c AS (SELECT o_orderkey AS k, 1 AS n FROM {orders}) SELECT coalesce(w.k, c.k) AS cell, CAST(coalesce(w.n, 0) - coalesce(c.n, 0) AS BIGINT) AS delta FROM w FULL OUTER JOIN c ON w.k = c.k WHERE coalesce(w.n, 0) <> coalesce(c.n, 0)")
 sql("inv11_derived_level", "WITH a AS (SELECT l_suppkey AS src, count(*) AS n FROM {lineitem} GROUP BY 1), d AS (SELECT l_suppkey AS src, count(*) AS n FROM {lineitem} WHERE l_returnflag <> 'N' GROUP BY 1) SELECT CASE WHEN coalesce(d.n, 0) = a.n THEN 'level' WHEN coalesce(d.n, 0) < a.n THEN 'behind' ELSE 'over' END AS state, count(*) AS n FROM a LEFT JOIN d USING (src) GROUP BY 1")
-sql("inv12_kept_plus_hit", "SELECT count(*) - count(*) FILTER (WHERE l_returnflag = 'R') - count(*) FILTER (WHERE l_returnflag <> 'R') AS violations FROM {lineitem}")
+sql("inv12_kept_plus_hit", "SELECT source, count(*) AS total, count(*) FILTER (WHERE lang = 'en') AS hit, count(*) FILTER (WHERE lang <> 'en') AS kept, count(*) <> count(*) FILTER (WHERE lang = 'en') + count(*) FILTER (WHERE lang <> 'en') AS violated FROM {documents} GROUP BY source")
 sql("inv13_output_name_collision", "SELECT concat(cast(l_orderkey AS STRING), '_', cast(l_linenumber AS STRING)) AS name, count(*) AS n FROM {lineitem} GROUP BY 1 HAVING count(*) > 1", "SELECT concat(cast(l_orderkey AS VARCHAR), '_', cast(l_linenumber AS VARCHAR)) AS name, count(*) AS n FROM {lineitem} GROUP BY 1 HAVING count(*) > 1")
 sql("inv15_upstream_complete", "SELECT (SELECT count(DISTINCT l_orderkey) FROM {lineitem}) AS judged, (SELECT count(*) FROM {orders}) AS planned, (SELECT count(DISTINCT l_orderkey) FROM {lineitem}) >= (SELECT count(*) FROM {orders}) AS may_run")
-sql("inv16_job_list_equals_plan", "SELECT l_returnflag AS drive, count(*) AS jobs, count(DISTINCT l_orderkey) AS images, CAST(ceil(count(DISTINCT l_orderkey) / 1000.0) AS BIGINT) AS shards FROM {lineitem} GROUP BY l_returnflag")
+sql("inv16_job_list_equals_plan", "WITH plan AS (SELECT CAST(floor(o_orderkey / 1000.0) AS BIGINT) AS shard, count(*) AS planned FROM {orders} GROUP BY 1), job AS (SELECT CAST(floor(l_orderkey / 1000.0) AS BIGINT) AS shard, count(DISTINCT l_orderkey) AS jobs FROM {lineitem} GROUP BY 1) SELECT plan.shard, planned, coalesce(jobs, 0) AS jobs, coalesce(jobs, 0) <> planned AS refused FROM plan LEFT JOIN job ON job.shard = plan.shard")
 sql("inv17_one_open_assignment", "SELECT user_id, event_type, count(*) AS n FROM {events} WHERE value > 100 GROUP BY user_id, event_type HAVING count(*) > 1")
 sql("inv18_hard_caps", "SELECT count(*) AS n_rows, count(*) <= 200000000 AS within_cap FROM {lineitem}")
-sql("inv19_run_id_congruence", "SELECT count(*) FILTER (WHERE l_orderkey % 65536 <> (l_orderkey + 65536) % 65536) AS violations, max(l_orderkey % 65536) - min(l_orderkey % 65536) <= 65535 AS spread_ok FROM {lineitem}")
+sql("inv19_run_id_congruence", "WITH r AS (SELECT o_orderkey, o_custkey, timestampdiff(SECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', o_orderdate) AS started FROM {orders}), m AS (SELECT started, (started + CASE WHEN o_orderkey % 7 = 0 THEN 1 ELSE 0 END) % 65536 AS run_id, started + o_custkey * 40 AS estimate FROM r) SELECT count(*) FILTER (WHERE started % 65536 <> run_id) AS violations, count(*) FILTER (WHERE abs(estimate - started) > 32768) AS too_far, count(*) AS runs FROM m", "WITH r AS (SELECT o_orderkey, o_custkey, CAST(epoch(o_orderdate) AS BIGINT) AS started FROM {orders}), m AS (SELECT started, (started + CASE WHEN o_orderkey % 7 = 0 THEN 1 ELSE 0 END) % 65536 AS run_id, started + o_custkey * 40 AS estimate FROM r) SELECT count(*) FILTER (WHERE started % 65536 <> run_id) AS violations, count(*) FILTER (WHERE abs(estimate - started) > 32768) AS too_far, count(*) AS runs FROM m")

@@ -24,7 +24,8 @@ sql("str12_resume_by_committed_ranges", "WITH r AS (SELECT conv_id, turn, lead(t
 sql("str13_contiguous_committed_prefix", "WITH c AS (SELECT l_orderkey AS shard, count(*) >= 3 AS complete FROM {lineitem} GROUP BY 1), f AS (SELECT min(shard) AS first_open FROM c WHERE NOT complete) SELECT count(*) AS committed FROM c JOIN f ON shard < first_open")
 sql("str14_late_reconciliation", "SELECT count(*) FILTER (WHERE l.n IS NULL) AS never_seen, count(*) FILTER (WHERE l.n < 2) AS short FROM {orders} LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM {lineitem} GROUP BY 1) l ON l.l_orderkey = o_orderkey")
 sql("str16_negative_cache", "WITH known AS (SELECT doc_id FROM {labels} UNION SELECT doc_id FROM {documents} WHERE n_chars < 200) SELECT count(*) AS todo FROM {documents} d ANTI JOIN known ON known.doc_id = d.doc_id")
-sql("str19_failure_throttle", "WITH e AS (SELECT user_id, ts, event_type FROM {events} WHERE event_type = 'error') SELECT user_id, count(*) AS failures, count(*) >= 5 AS locked FROM e GROUP BY user_id")
+#: Failures of a source count up until a day of quiet; from the third on each doubles the lockout, from 30 s to 15 minutes.
+sql("str19_failure_throttle", "WITH f AS (SELECT user_id, event_id, timestampdiff(SECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts) AS sec FROM {events} WHERE event_type = 'error'), g AS (SELECT *, CASE WHEN sec - lag(sec) OVER (PARTITION BY user_id ORDER BY sec, event_id) <= 86400 THEN 0 ELSE 1 END AS fresh FROM f), s AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY sec, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS streak FROM g), n AS (SELECT *, row_number() OVER (PARTITION BY user_id, streak ORDER BY sec, event_id) AS fails, row_number() OVER (PARTITION BY user_id ORDER BY sec DESC, event_id DESC) AS back FROM s) SELECT user_id, CAST(fails AS BIGINT) AS fails, CAST(sec + CASE WHEN fails < 3 THEN 0 ELSE least(900, 30 * power(2, fails - 3)) END AS BIGINT) AS locked_until FROM n WHERE back = 1", "WITH f AS (SELECT user_id, event_id, CAST(floor(epoch(ts)) AS BIGINT) AS sec FROM {events} WHERE event_type = 'error'), g AS (SELECT *, CASE WHEN sec - lag(sec) OVER (PARTITION BY user_id ORDER BY sec, event_id) <= 86400 THEN 0 ELSE 1 END AS fresh FROM f), s AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY sec, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS streak FROM g), n AS (SELECT *, row_number() OVER (PARTITION BY user_id, streak ORDER BY sec, event_id) AS fails, row_number() OVER (PARTITION BY user_id ORDER BY sec DESC, event_id DESC) AS back FROM s) SELECT user_id, CAST(fails AS BIGINT) AS fails, CAST(sec + CASE WHEN fails < 3 THEN 0 ELSE least(900, 30 * power(2, fails - 3)) END AS BIGINT) AS locked_until FROM n WHERE back = 1")
 sql("str20_work_state", "SELECT o_orderkey, CASE WHEN l.n IS NULL THEN 'fresh' WHEN l.n < 4 THEN 'resume' ELSE 'done' END AS state FROM {orders} LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM {lineitem} GROUP BY 1) l ON l.l_orderkey = o_orderkey")
 
 

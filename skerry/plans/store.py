@@ -11,7 +11,7 @@ sql("prj03_name_classification", "SELECT page_id, CASE WHEN url LIKE 'https://%'
 sql("prj04_cell_name_parse", "SELECT c_custkey, nullif(regexp_extract(c_name, '^([A-Za-z]+)#([0-9]+)$', 1), '') AS region, try_cast(nullif(regexp_extract(c_name, '^([A-Za-z]+)#([0-9]+)$', 2), '') AS BIGINT) AS number FROM {customer}")
 sql("prj05_parent_by_right_split", "SELECT page_id, nullif(regexp_extract(url, '^(.*)/[^/]+$', 1), '') AS parent FROM {pages}")
 sql("prj06_display_name_fallback", "SELECT page_id, coalesce(nullif(regexp_extract(url, '^https?://([^/]+)', 1), ''), 'unknown') AS shown FROM {pages}")
-sql("prj07_sanitise_name", "SELECT p_partkey, trim(BOTH '_' FROM regexp_replace(replace(p_name, '&', 'and'), '[^A-Za-z0-9_]', '_')) AS safe FROM {part}", "SELECT p_partkey, trim(regexp_replace(replace(p_name, '&', 'and'), '[^A-Za-z0-9_]', '_', 'g'), '_') AS safe FROM {part}")
+sql("prj07_sanitise_name", "SELECT p_partkey, trim(BOTH '_' FROM regexp_replace(replace(p_name, '&', 'and'), '[^\\\\w.-]', '_')) AS safe FROM {part}", "SELECT p_partkey, trim(regexp_replace(replace(p_name, '&', 'and'), '[^\\w.-]', '_', 'g'), '_') AS safe FROM {part}")
 sql("prj09_derived_area", f"WITH {DET_ROWS} SELECT image_id, det_idx, round((qty * 2 - qty) * (qty * 3 - qty), 4) AS area FROM det_rows")
 sql("prj10_shorter_side", "SELECT l_orderkey, l_linenumber, least(l_quantity, l_extendedprice) AS shorter FROM {lineitem}")
 sql("prj11_absolute_time", "SELECT l_orderkey, l_linenumber, timestampadd(SECOND, l_linenumber, l_shipdate) AS at FROM {lineitem}", "SELECT l_orderkey, l_linenumber, l_shipdate + to_seconds(l_linenumber) AS at FROM {lineitem}")
@@ -39,7 +39,7 @@ sql("flt01_membership_filter", "SELECT count(*) AS n FROM {lineitem} SEMI JOIN (
 sql("flt02_null_aware_cutoff", "SELECT count(*) AS n FROM {orders} WHERE o_orderdate IS NOT NULL AND o_orderdate <= TIMESTAMP_NTZ '1996-01-01 00:00:00'", "SELECT count(*) AS n FROM {orders} WHERE o_orderdate IS NOT NULL AND o_orderdate <= TIMESTAMP '1996-01-01 00:00:00'")
 sql("flt03_conf_band_and_size", f"WITH {DET} SELECT image_id, det_idx, conf FROM det WHERE conf BETWEEN 0.25 AND 0.5 AND qty >= 10")
 sql("flt04_valid_coordinates", "SELECT count(*) FILTER (WHERE c_acctbal BETWEEN -180 AND 180) AS valid, count(*) FILTER (WHERE NOT c_acctbal BETWEEN -180 AND 180) AS invalid FROM {customer}")
-sql("flt05_region_substring", "SELECT n_name FROM {nation} WHERE contains(lower(n_name), 'n')")
+sql("flt05_region_substring", "SELECT n_name, contains(lower(n_name), 'n') AS part, trim(BOTH '_' FROM regexp_replace(replace(n_name, '&', 'and'), '[^\\\\w.-]', '_')) = 'UNITED_STATES' AS same FROM {nation}", "SELECT n_name, contains(lower(n_name), 'n') AS part, n_name = 'UNITED STATES' AS same FROM {nation}")
 sql("flt06_prefix_match", "SELECT page_id FROM {pages} WHERE startswith(url, 'https://')", "SELECT page_id FROM {pages} WHERE starts_with(url, 'https://')")
 sql("flt07_period_filter_swapped", "SELECT count(*) AS n FROM {orders} WHERE o_orderdate >= least(TIMESTAMP_NTZ '1997-01-01 00:00:00', TIMESTAMP_NTZ '1995-01-01 00:00:00') AND o_orderdate < greatest(TIMESTAMP_NTZ '1997-01-01 00:00:00', TIMESTAMP_NTZ '1995-01-01 00:00:00') + INTERVAL '1' DAY", "SELECT count(*) AS n FROM {orders} WHERE o_orderdate >= least(TIMESTAMP '1997-01-01 00:00:00', TIMESTAMP '1995-01-01 00:00:00') AND o_orderdate < greatest(TIMESTAMP '1997-01-01 00:00:00', TIMESTAMP '1995-01-01 00:00:00') + INTERVAL '1' DAY")
 sql("flt08_verdict_views", f"WITH {DET} SELECT CASE WHEN (conf >= 0.5) <> (tax >= 0.04) THEN 'wrong' WHEN tax >= 0.04 THEN 'positive' ELSE 'negative' END AS view, count(*) AS n FROM det WHERE conf IS NOT NULL GROUP BY 1")
@@ -48,7 +48,7 @@ sql("flt11_area_floor", "SELECT p_brand, p_type, p_size FROM {part} WHERE p_size
 
 # -- joins --------------------------------------------------------------------
 
-sql("joi01_inner_multi_key", f"WITH {IMG}, {DET_ROWS} SELECT img.image_id, det_rows.det_idx, status, conf FROM img JOIN det_rows ON img.image_id = det_rows.image_id AND img.status * 0 = det_rows.det_idx * 0")
+sql("joi01_inner_multi_key", "SELECT o_orderkey AS image_id, l_linenumber AS det_idx, l_discount AS conf FROM {orders} JOIN {lineitem} ON o_orderkey = l_orderkey AND o_orderstatus = l_linestatus")
 sql("joi02_left_images_runs", f"WITH {IMG} SELECT img.image_id, s_name AS run FROM img LEFT JOIN {{supplier}} ON s_suppkey = img.image_id")
 sql("joi03_left_four_keys_flag", "SELECT a.l_orderkey, a.l_linenumber, b.l_orderkey IS NOT NULL AS has_image FROM {lineitem} a LEFT JOIN (SELECT DISTINCT l_orderkey, l_linenumber, l_returnflag, l_linestatus FROM {lineitem} WHERE l_quantity > 25) b ON a.l_orderkey = b.l_orderkey AND a.l_linenumber = b.l_linenumber AND a.l_returnflag = b.l_returnflag AND a.l_linestatus = b.l_linestatus")
 sql("joi05_semi_before_aggregate", f"WITH {DET_ROWS}, need AS (SELECT DISTINCT o_orderkey AS image_id FROM {{orders}} WHERE o_totalprice > 200000) SELECT image_id, min(suppkey) AS seq, count(*) AS n FROM det_rows SEMI JOIN need USING (image_id) GROUP BY image_id", f"WITH {DET_ROWS}, need AS (SELECT DISTINCT o_orderkey AS image_id FROM {{orders}} WHERE o_totalprice > 200000) SELECT image_id, min(suppkey) AS seq, count(*) AS n FROM det_rows WHERE image_id IN (SELECT image_id FROM need) GROUP BY image_id")
