@@ -106,3 +106,12 @@ def test_language_of_edges(spark, edge, edge_texts, none):
         assert (r["lang_pred"] == "und") == (not any(map(str.isalpha, t)))
     assert langid.fit(none) is None
     assert {r["lang_pred"] for r in langid.identify(edge, None).collect()} == {"und"}
+
+
+def test_language_of_repeated_rows(spark, edge):
+    net = langid.fit(edge.union(edge), per_lang=5, per_doc=3)
+    got = langid.identify(edge.union(edge).withColumn("lang_pred", F.lit("x")), net).collect()
+    seen = {}
+    for r in got:
+        assert seen.setdefault(r["doc_id"], (r["lang_pred"], r["score"])) == (r["lang_pred"], r["score"])
+    assert len(got) == 2 * len(seen)

@@ -192,3 +192,13 @@ def test_packed_documents_hold_the_tokenizers_ids(spark, edge, edge_texts):
 
 def test_packing_nothing(spark, none):
     assert packing.pack_documents(none, word_tokenizer()).count() == 0
+
+
+def test_repeated_rows_and_clashing_columns(spark, edge_texts):
+    rows = [(k % 5, t, f"x{k}", 1, None) for k, t in enumerate(edge_texts)] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string, piece string, size long, feature string")
+    media = tiff.archive(df).collect()
+    assert len(media) == len(rows) and len({(r["doc_id"], r["payload_sha256"]) for r in media}) <= len(edge_texts)
+    pieces = packing.pack_documents(df, word_tokenizer()).collect()
+    assert sum(r["piece"] == 0 for r in pieces) == len(rows)
+    assert len({(r["sequence_id"], r["offset"]) for r in pieces if r["length"]}) == sum(r["length"] > 0 for r in pieces)
