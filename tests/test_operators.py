@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from skerry.functions import geo, stats, text
 from skerry.operators import boxes, clusters, dedup, graph, ranking, vectors
+from skerry.sources import manifests
 
 
 def one(spark, column):
@@ -134,3 +135,19 @@ def test_greedy_hamming_follows_the_order(spark):
 
 def test_similar_pairs_empty(spark):
     assert vectors.similar_pairs(spark.createDataFrame([], "vec_id long, embedding array<float>"), 0.5).count() == 0
+
+
+def test_box_matching_with_a_side_without_rows(spark):
+    pred = spark.createDataFrame([(1, 0, 0.9, 0.0, 0.0, 2.0, 2.0), (2, 0, 0.5, 0.0, 0.0, 1.0, 1.0)], "image_id long, idx int, conf double, x1 double, y1 double, x2 double, y2 double")
+    truth = pred.drop("conf")
+    got = lambda p, t: {(r["image_id"], r["pred_idx"], r["truth_idx"]) for r in boxes.greedy_match(p, t).collect()}
+    assert got(pred, truth) == {(1, 0, 0), (2, 0, 0)}
+    assert got(pred, truth.limit(0)) == {(1, 0, None), (2, 0, None)}
+    assert got(pred.limit(0), truth) == {(1, None, 0), (2, None, 0)}
+    assert got(pred, truth.filter("image_id = 1")) == {(1, 0, 0), (2, 0, None)}
+
+
+def test_ranks_follow_text_keys(spark):
+    df = spark.createDataFrame([(x,) for x in ["b", "a", "", None, "ab", "é", "z", "aa"]], "k string")
+    got = [r["k"] for r in manifests.with_row_index(df, ["k"]).orderBy("row_index").collect()]
+    assert got == [r["k"] for r in df.orderBy("k").collect()]
