@@ -11,9 +11,9 @@ from ..scratch import materialize
 from ..session import table
 from . import langid, lines, minhash, mixing, packing, quality, rules, sharding, suffixes, tiff
 from .common import words
+from .oracles import ORACLES  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
 
 
 def query(name: str):
