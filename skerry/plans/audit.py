@@ -50,7 +50,6 @@ sql("pip14_map_layers", f"WITH {IMG}, {DET}, {REG}, n AS (SELECT image_id, count
 sql("pip15_incremental_country_index", f"WITH {IMG}, {REG}, known AS (SELECT image_id FROM img WHERE image_id % 4 = 0 UNION SELECT image_id FROM img WHERE image_id % 9 = 0), todo AS (SELECT img.* FROM img ANTI JOIN known ON known.image_id = img.image_id) SELECT country, count(*) AS n FROM todo LEFT JOIN reg ON reg.seq = todo.seq GROUP BY country")
 sql("pip16_grid_region_audit", "WITH c AS (SELECT n_regionkey, n_nationkey, CAST(sum(CAST(round(c_acctbal * 100) AS BIGINT)) AS BIGINT) AS area FROM {nation} JOIN {customer} ON c_nationkey = n_nationkey GROUP BY 1, 2), t AS (SELECT *, sum(area) OVER (PARTITION BY n_regionkey) AS total, row_number() OVER (PARTITION BY n_regionkey ORDER BY area DESC, n_nationkey) AS r FROM c) SELECT r_name, n_nationkey AS dominant, round(CAST(area AS DOUBLE) / CAST(total AS DOUBLE), 6) AS share, CASE WHEN area * 2 > total THEN 'ok' ELSE 'straddles' END AS verdict FROM t JOIN {region} ON r_regionkey = n_regionkey WHERE r = 1")
 sql("pip17_review_set", f"WITH {DET}, e AS (SELECT DISTINCT l_orderkey AS image_id FROM {{lineitem}} WHERE l_returnflag = 'R'), c AS (SELECT det.* FROM det ANTI JOIN e ON e.image_id = det.image_id WHERE conf BETWEEN 0.2 AND 0.7), one AS (SELECT * FROM (SELECT *, CAST(least(9, floor((conf + 1e-9 - 0.2) / 0.5 * 10)) AS INT) AS decile, row_number() OVER (PARTITION BY image_id ORDER BY conf DESC, det_idx) AS ri FROM c) t WHERE ri = 1) SELECT decile, image_id, det_idx FROM (SELECT *, row_number() OVER (PARTITION BY decile ORDER BY image_id) AS rd FROM one) t WHERE rd <= 10")
-sql("pip19_hold_out_leak_move", f"WITH {IMG}, {DET}, hold AS (SELECT DISTINCT seq FROM img WHERE seq % 10 = 0), t AS (SELECT det.image_id, img.seq, img.seq % 10 = 0 AS held FROM det JOIN img ON img.image_id = det.image_id WHERE conf >= 0.5) SELECT held, count(*) AS boxes, count(DISTINCT image_id) AS images, count(DISTINCT seq) AS sequences FROM t GROUP BY held")
 sql("pip20_negatives_to_target_share", f"WITH {IMG}, {DET}, n AS (SELECT count(*) AS pos FROM det WHERE conf >= 0.5), k AS (SELECT CAST(floor(0.1 * pos / 0.9) AS BIGINT) AS want FROM n), neg AS (SELECT image_id, row_number() OVER (ORDER BY image_id) AS r FROM img ANTI JOIN {{lineitem}} ON l_orderkey = img.image_id WHERE status = 0) SELECT image_id FROM neg JOIN k ON r <= want")
 sql("pip25_calibration_disagreements", "WITH a AS (SELECT doc_id, source AS pool, n_chars >= 2000 AS says FROM {documents}), h AS (SELECT doc_id, max(quality) AS quality FROM {labels} GROUP BY doc_id) SELECT pool, quality, says, count(*) AS n, count(*) FILTER (WHERE says <> (quality = 1)) AS disagree FROM a JOIN h ON h.doc_id = a.doc_id GROUP BY 1, 2, 3")
 sql("pip27_manifest_disk_reconcile", "WITH m AS (SELECT o_orderkey AS id FROM {orders} WHERE o_orderstatus <> 'P'), d AS (SELECT DISTINCT l_orderkey AS id FROM {lineitem} WHERE l_linenumber <= 3) SELECT CASE WHEN m.id IS NULL THEN 'orphaned' WHEN d.id IS NULL THEN 'missing' ELSE 'matched' END AS state, count(*) AS n FROM m FULL OUTER JOIN d ON m.id = d.id GROUP BY 1")
@@ -104,22 +103,6 @@ def set10_connected_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return components(similar_pairs(table(spark, sf_dir, "embeddings"), 0.4).select(F.col("a").alias("u"), F.col("b").alias("v")))
 
 
-@query(
-    "set12_cluster_survivor",
-    "WITH h AS (SELECT doc_id, n_chars, md5(lower(text)) AS h FROM documents), k AS (SELECT h, min(doc_id) AS component FROM h GROUP BY h HAVING count(*) > 1) SELECT component, arg_max(doc_id, (n_chars, -doc_id)) AS survivor, count(*) AS n FROM h JOIN k USING (h) GROUP BY component",
-)
-def set12_cluster_survivor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "documents").select("doc_id", "n_chars", F.md5(F.lower("text")).alias("h")).filter("h is not null")
-    best = F.max_by("doc_id", F.struct("n_chars", -F.col("doc_id")))
-    return rows.groupBy("h").agg(F.min("doc_id").alias("component"), best.alias("survivor"), F.count("*").alias("n")).filter("n > 1").drop("h")
-
-
-@query("pip22_near_duplicate_clusters", "WITH e AS (SELECT a.vec_id AS a, b.vec_id AS b FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id WHERE list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= 0.35) SELECT label, count(*) AS pairs FROM e JOIN embeddings v ON v.vec_id = e.a GROUP BY label")
-def pip22_near_duplicate_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "embeddings")
-    return similar_pairs(rows, 0.35).join(rows.select(F.col("vec_id").alias("a"), "label"), "a").groupBy("label").agg(F.count("*").alias("pairs"))
-
-
 @query("joi22_greedy_box_matching")
 def joi22_greedy_box_matching(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Detections of drive A against those of drive R as truth; greedy, so only a brute-force test holds it."""

@@ -19,7 +19,6 @@ sql("str05_reuse_counts_by_mtime", "WITH snap AS (SELECT o_custkey AS dir, count
 sql("str06_signature_gate", "SELECT md5(array_join(array_sort(collect_list(concat(cast(n_nationkey AS STRING), ':', n_name))), '|')) AS signature FROM {nation}", "SELECT md5(array_to_string(list_sort(list(concat(cast(n_nationkey AS VARCHAR), ':', n_name))), '|')) AS signature FROM {nation}")
 sql("str07_refuse_on_missing_inputs", "SELECT count(*) FILTER (WHERE l.l_suppkey IS NULL) AS missing, count(*) FILTER (WHERE l.l_suppkey IS NULL) = 0 AS may_publish FROM {supplier} LEFT JOIN (SELECT DISTINCT l_suppkey FROM {lineitem}) l ON l.l_suppkey = s_suppkey")
 sql("str08_row_offset_shards", "WITH r AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS i, count(*) OVER () AS total FROM {orders}) SELECT CAST(floor((i * 4 + 3) / total) AS BIGINT) AS shard, count(*) AS n, min(o_orderkey) AS first_id FROM r GROUP BY 1")
-sql("str11_retry_until_no_progress", "WITH failed AS (SELECT event_id, user_id FROM {events} WHERE event_type = 'error'), again AS (SELECT DISTINCT user_id FROM {events} WHERE event_type <> 'error') SELECT count(*) AS failed, count(again.user_id) AS recovered FROM failed LEFT JOIN again ON again.user_id = failed.user_id")
 sql("str12_resume_by_committed_ranges", "WITH r AS (SELECT conv_id, turn, lead(turn) OVER (PARTITION BY conv_id ORDER BY turn) AS after FROM {conversations}) SELECT conv_id, min(turn + 1) AS resume_at FROM r WHERE after IS NULL OR after <> turn + 1 GROUP BY conv_id")
 sql("str13_contiguous_committed_prefix", "WITH c AS (SELECT l_orderkey AS shard, count(*) >= 3 AS complete FROM {lineitem} GROUP BY 1), f AS (SELECT min(shard) AS first_open FROM c WHERE NOT complete) SELECT count(*) AS committed FROM c JOIN f ON shard < first_open")
 sql("str14_late_reconciliation", "SELECT count(*) FILTER (WHERE l.n IS NULL) AS never_seen, count(*) FILTER (WHERE l.n < 2) AS short FROM {orders} LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM {lineitem} GROUP BY 1) l ON l.l_orderkey = o_orderkey")

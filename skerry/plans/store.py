@@ -132,6 +132,4 @@ sql("src17_line_set", "SELECT DISTINCT trim(text) AS line FROM {benchmark} WHERE
 sql("srt03_sort_inside_part", "SELECT l_suppkey, l_orderkey, CAST(row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice) AS BIGINT) AS pos FROM {lineitem}")
 sql("srt09_stratified_by_decile", f"WITH {DET}, c AS (SELECT image_id, det_idx, cell, conf, CAST(least(9, floor((conf + 1e-9) * 10)) AS INT) AS decile FROM det), one AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY md5(concat(cast(image_id AS STRING), ':', cast(det_idx AS STRING)))) AS ri FROM c) t WHERE ri = 1), capped AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY decile, cell ORDER BY image_id) AS rc FROM one) t WHERE rc <= 6) SELECT decile, cell, image_id FROM (SELECT *, row_number() OVER (PARTITION BY decile ORDER BY rc, cell) AS rd FROM capped) t WHERE rd <= 10", f"WITH {DET}, c AS (SELECT image_id, det_idx, cell, conf, CAST(least(9, floor((conf + 1e-9) * 10)) AS INT) AS decile FROM det), one AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY md5(concat(cast(image_id AS VARCHAR), ':', cast(det_idx AS VARCHAR)))) AS ri FROM c) t WHERE ri = 1), capped AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY decile, cell ORDER BY image_id) AS rc FROM one) t WHERE rc <= 6) SELECT decile, cell, image_id FROM (SELECT *, row_number() OVER (PARTITION BY decile ORDER BY rc, cell) AS rd FROM capped) t WHERE rd <= 10")
 sql("joi21_intersecting_distinct_list", "WITH a AS (SELECT s_nationkey AS k, s_acctbal AS lo, s_acctbal + 200 AS hi FROM {supplier}), r AS (SELECT r_regionkey, r_name, r_regionkey * 2000 AS lo, r_regionkey * 2000 + 900 AS hi FROM {region}) SELECT DISTINCT r_name, k FROM a JOIN r ON a.lo <= r.hi AND a.hi >= r.lo")
-sql("joi28_exclusive_best_claim", "WITH s AS (SELECT s_suppkey, c_custkey, round(abs(s_acctbal - c_acctbal), 4) AS away FROM {supplier} JOIN {customer} ON c_nationkey = s_nationkey), a AS (SELECT *, row_number() OVER (PARTITION BY s_suppkey ORDER BY away, c_custkey) AS rs, row_number() OVER (PARTITION BY c_custkey ORDER BY away, s_suppkey) AS rc FROM s) SELECT s_suppkey, c_custkey FROM a WHERE rs = 1 AND rc = 1")
 sql("pip21_reserve_whole_groups", "WITH g AS (SELECT o_custkey AS grp, count(*) AS ids FROM {orders} GROUP BY 1), c AS (SELECT grp, ids, coalesce(sum(ids) OVER (ORDER BY md5(concat('reserve', cast(grp AS STRING))), grp ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM g) SELECT grp, ids FROM c WHERE before < 60", "WITH g AS (SELECT o_custkey AS grp, count(*) AS ids FROM {orders} GROUP BY 1), c AS (SELECT grp, ids, coalesce(sum(ids) OVER (ORDER BY md5(concat('reserve', cast(grp AS VARCHAR))), grp ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM g) SELECT grp, ids FROM c WHERE before < 60")
-sql("pip18_leak_free_rebuild", "WITH d AS (SELECT doc_id, md5(lower(text)) AS h, n_chars FROM {documents}), grp AS (SELECT h, min(doc_id) AS g FROM d GROUP BY h), keep AS (SELECT h, g, max(n_chars) AS n_chars FROM d JOIN grp USING (h) GROUP BY h, g), lab AS (SELECT g, n_chars, CASE WHEN substr(md5(concat('s', cast(g AS STRING))), 1, 1) < '4' THEN 'val' ELSE 'train' END AS split FROM keep), cap AS (SELECT *, row_number() OVER (PARTITION BY split ORDER BY md5(cast(g AS STRING)), g) AS r FROM lab) SELECT split, g, n_chars FROM cap WHERE r <= 100", "WITH d AS (SELECT doc_id, md5(lower(text)) AS h, n_chars FROM {documents}), grp AS (SELECT h, min(doc_id) AS g FROM d GROUP BY h), keep AS (SELECT h, g, max(n_chars) AS n_chars FROM d JOIN grp USING (h) GROUP BY h, g), lab AS (SELECT g, n_chars, CASE WHEN substr(md5(concat('s', cast(g AS VARCHAR))), 1, 1) < '4' THEN 'val' ELSE 'train' END AS split FROM keep), cap AS (SELECT *, row_number() OVER (PARTITION BY split ORDER BY md5(cast(g AS VARCHAR)), g) AS r FROM lab) SELECT split, g, n_chars FROM cap WHERE r <= 100")
