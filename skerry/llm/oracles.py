@@ -3,7 +3,7 @@
 _WORD = r"[^\x20\x09-\x0D]+"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
-#: Equal sets are compared once; components grow from links between different sets.
+#: Equal sets are compared once; two sets at 0.8 share one of their rarest fifths; components grow from links between different sets.
 NEAR_DEDUP = f"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '{_WORD}') AS w FROM documents
@@ -13,9 +13,16 @@ WITH RECURSIVE w AS (
   SELECT *, CASE WHEN len(s) = 0 THEN doc_id ELSE min(doc_id) OVER (PARTITION BY s) END AS rep FROM s
 ), e AS (
   SELECT doc_id, len(s) AS n, unnest(s) AS g FROM r WHERE doc_id = rep
+), f AS (
+  SELECT g, count(*) AS df FROM e GROUP BY g HAVING count(*) > 1
+), o AS (
+  SELECT doc_id, n, g, row_number() OVER (PARTITION BY doc_id ORDER BY coalesce(df, 1), g) AS k FROM e LEFT JOIN f USING (g)
+), p AS (
+  SELECT doc_id, n, g FROM o WHERE k <= n - (8 * n + 9) // 10 + 1
 ), l AS (
-  SELECT a.doc_id AS x, b.doc_id AS y FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
-  GROUP BY ALL HAVING 100 * count(*) >= 80 * (any_value(a.n) + any_value(b.n) - count(*))
+  SELECT x, y FROM (SELECT DISTINCT a.doc_id AS x, b.doc_id AS y FROM p a JOIN p b ON a.g = b.g AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)) t
+  JOIN r a ON a.doc_id = x JOIN r b ON b.doc_id = y
+  WHERE 100 * len(list_intersect(a.s, b.s)) >= 80 * (len(a.s) + len(b.s) - len(list_intersect(a.s, b.s)))
 ), c AS (
   SELECT rep AS x, rep AS y FROM r
   UNION
