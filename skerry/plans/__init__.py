@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .registry import ORACLES, QUERIES
 
-_MODULES: tuple[str, ...] = ("catalog", "store", "audit", "incremental", "files", "ordered", "datasets")
+_MODULES: tuple[str, ...] = ("catalog", "store", "audit", "incremental", "files", "ordered", "datasets", "store_life")
 
 
 def _load() -> None:

@@ -46,7 +46,6 @@ sql("pip09_cross_run_corroboration", f"WITH {DET}, r AS (SELECT DISTINCT image_i
 sql("pip10_run_start_derivation", "WITH m AS (SELECT l_suppkey AS run_id, l_returnflag AS part, max(l_orderkey) AS off FROM {lineitem} GROUP BY 1, 2) SELECT run_id, round(median(off), 4) AS est, CAST(floor(median(off) / 64) * 64 + run_id % 64 AS BIGINT) AS snapped, max(off) - min(off) AS spread FROM m GROUP BY run_id")
 sql("pip11_audit_pool", f"WITH {IMG}, {DET}, need AS (SELECT DISTINCT image_id FROM det WHERE conf >= 0.2), s AS (SELECT image_id, min(seq) AS seq FROM img SEMI JOIN need USING (image_id) GROUP BY image_id) SELECT det.image_id, det_idx, conf, coalesce(cast(seq AS STRING), concat('img:', cast(det.image_id AS STRING))) AS seq, CAST(least(9, floor((conf + 1e-9) / 0.1)) AS INT) AS band FROM det LEFT JOIN s ON s.image_id = det.image_id WHERE conf >= 0.2", f"WITH {IMG}, {DET}, need AS (SELECT DISTINCT image_id FROM det WHERE conf >= 0.2), s AS (SELECT image_id, min(seq) AS seq FROM img WHERE image_id IN (SELECT image_id FROM need) GROUP BY image_id) SELECT det.image_id, det_idx, conf, coalesce(cast(seq AS VARCHAR), concat('img:', cast(det.image_id AS VARCHAR))) AS seq, CAST(least(9, floor((conf + 1e-9) / 0.1)) AS INT) AS band FROM det LEFT JOIN s ON s.image_id = det.image_id WHERE conf >= 0.2")
 sql("pip12_audit_sheet_draw", f"WITH {IMG}, {DET}, p AS (SELECT det.image_id, det_idx, img.seq, CAST(least(9, floor((conf + 1e-9) / 0.1)) AS INT) AS band FROM det JOIN img ON img.image_id = det.image_id ANTI JOIN {{supplier}} ON s_suppkey = img.seq), one AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY seq ORDER BY image_id, det_idx) AS r FROM p) t WHERE r = 1) SELECT band, image_id, det_idx FROM (SELECT *, row_number() OVER (PARTITION BY band ORDER BY image_id, det_idx) AS k FROM one) t WHERE k <= 4")
-sql("pip14_map_layers", f"WITH {IMG}, {DET}, {REG}, n AS (SELECT image_id, count(*) AS n FROM det WHERE conf >= 0.5 GROUP BY image_id), pts AS (SELECT img.image_id, n, CASE WHEN bytes < 300000 THEN bytes / 2000 END AS lon FROM n JOIN img ON img.image_id = n.image_id) SELECT round(floor(lon / 0.5) * 0.5 + 0.25, 4) AS x, CAST(sum(n) AS BIGINT) AS weight, count(*) AS images FROM pts WHERE lon BETWEEN -180 AND 180 GROUP BY 1".replace("/ 0.5) * 0.5 + 0.25", "/ CAST(0.5 AS DOUBLE)) * CAST(0.5 AS DOUBLE) + CAST(0.25 AS DOUBLE)"))
 sql("pip15_incremental_country_index", f"WITH {IMG}, {REG}, known AS (SELECT image_id FROM img WHERE image_id % 4 = 0 UNION SELECT image_id FROM img WHERE image_id % 9 = 0), todo AS (SELECT img.* FROM img ANTI JOIN known ON known.image_id = img.image_id) SELECT country, count(*) AS n FROM todo LEFT JOIN reg ON reg.seq = todo.seq GROUP BY country")
 sql("pip16_grid_region_audit", "WITH c AS (SELECT n_regionkey, n_nationkey, CAST(sum(CAST(round(c_acctbal * 100) AS BIGINT)) AS BIGINT) AS area FROM {nation} JOIN {customer} ON c_nationkey = n_nationkey GROUP BY 1, 2), t AS (SELECT *, sum(area) OVER (PARTITION BY n_regionkey) AS total, row_number() OVER (PARTITION BY n_regionkey ORDER BY area DESC, n_nationkey) AS r FROM c) SELECT r_name, n_nationkey AS dominant, round(CAST(area AS DOUBLE) / CAST(total AS DOUBLE), 6) AS share, CASE WHEN area * 2 > total THEN 'ok' ELSE 'straddles' END AS verdict FROM t JOIN {region} ON r_regionkey = n_regionkey WHERE r = 1")
 sql("pip17_review_set", f"WITH {DET}, e AS (SELECT DISTINCT l_orderkey AS image_id FROM {{lineitem}} WHERE l_returnflag = 'R'), c AS (SELECT det.* FROM det ANTI JOIN e ON e.image_id = det.image_id WHERE conf BETWEEN 0.2 AND 0.7), one AS (SELECT * FROM (SELECT *, CAST(least(9, floor((conf + 1e-9 - 0.2) / 0.5 * 10)) AS INT) AS decile, row_number() OVER (PARTITION BY image_id ORDER BY conf DESC, det_idx) AS ri FROM c) t WHERE ri = 1) SELECT decile, image_id, det_idx FROM (SELECT *, row_number() OVER (PARTITION BY decile ORDER BY image_id) AS rd FROM one) t WHERE rd <= 10")
