@@ -1,11 +1,11 @@
-"""Plans over a store's life: ordered commits, compaction, undo, payloads."""
+"""Plans over a store's life: ordered commits, compaction, undo, payloads, footers, map layers."""
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..scratch import new_path
 from ..session import table
-from ..sources import lifecycle, manifests
+from ..sources import lifecycle, manifests, sinks
 from .registry import query
 
 
@@ -75,6 +75,27 @@ def snk11_json_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doc.select("total", F.inline("layers")).select("id", "name", "total")
 
 
+@query("snk03_row_group_bound", "SELECT count(*) AS n_rows, true AS bounded, CAST(3 AS BIGINT) AS files FROM lineitem")
+def snk03_row_group_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three files of row groups of at most 500 rows, by their footers."""
+    path = new_path(spark, "groups")
+    sinks.write_row_groups(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber"), path, 500, files=3)
+    return sinks.row_groups(spark, path).agg(F.sum("n_rows").alias("n_rows"), (F.max("n_rows") <= 500).alias("bounded"), F.countDistinct("path").alias("files"))
+
+
+@query("src10_footer_health", "SELECT CAST(3 AS BIGINT) AS n_ok, CAST(1 AS BIGINT) AS broken, count(*) AS n_rows FROM lineitem")
+def src10_footer_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files with a readable footer and others, by a distributed scan of the footers."""
+    path = new_path(spark, "health")
+    sinks.write_row_groups(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber"), path, files=3)
+    fs, torn = sinks._fs(spark, f"{path}/torn.parquet")
+    out = fs.create(torn)
+    out.write(bytearray(b"PAR1 torn"))
+    out.close()
+    found = sinks.row_groups(spark, path)
+    return found.agg(F.countDistinct(F.when(F.col("n_rows").isNotNull(), F.col("path"))).alias("n_ok"), F.countDistinct(F.when(F.col("n_rows").isNull(), F.col("path"))).alias("broken"), F.sum("n_rows").alias("n_rows"))
+
+
 #: Degrees a map cell is wide at each zoom.
 RESOLUTIONS = (2.0, 0.5, 0.1)
 

@@ -21,6 +21,37 @@ def write_chunked(df: DataFrame, path: str, rows_per_file: int = 100_000, mode:
     df.write.mode(mode).option("compression", "zstd").option("maxRecordsPerFile", rows_per_file).parquet(path)
 
 
+def write_row_groups(df: DataFrame, path: str, rows_per_group: int = 2_000_000, files: int | None = None) -> None:
+    """zstd Parquet whose row groups hold at most ``rows_per_group`` rows, so that a reader's memory is bounded."""
+    parts = df if files is None else df.repartition(files)
+    parts.write.mode("overwrite").option("compression", "zstd").option("parquet.block.row.count.limit", rows_per_group).parquet(path)
+
+
+def row_groups(spark: SparkSession, path: str) -> DataFrame:
+    """``(path, row_group, n_rows)`` by the footers of Parquet files; a file without a readable footer gives null numbers.
+
+    A task reads a file whole (files up to 2 GB), files without rows give none.
+    """
+    import io
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    def run(batches):
+        for b in batches:
+            for name, content in zip(b.column(0).to_pylist(), b.column(1)):
+                try:
+                    meta = pq.read_metadata(io.BytesIO(content.as_py()))
+                    n = [meta.row_group(k).num_rows for k in range(meta.num_row_groups)]
+                except pa.ArrowInvalid:
+                    yield pa.RecordBatch.from_pydict({"path": [name], "row_group": pa.array([None], pa.int32()), "n_rows": pa.array([None], pa.int64())})
+                    continue
+                yield pa.RecordBatch.from_pydict({"path": [name] * len(n), "row_group": pa.array(range(len(n)), pa.int32()), "n_rows": pa.array(n, pa.int64())})
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True).load(path)
+    return files.select("path", "content").mapInArrow(run, "path string, row_group int, n_rows long")
+
+
 def write_sorted(df: DataFrame, path: str, keys: Sequence[str], partitions: int) -> None:
     """Range-partitioned parts, sorted by key inside, so that readers can skip row groups."""
     df.repartitionByRange(partitions, *keys).sortWithinPartitions(*keys).write.mode("overwrite").option("compression", "zstd").parquet(path)
