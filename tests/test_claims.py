@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from skerry.operators.claims import claim_in_order, retry_until_no_progress
 from skerry.operators.clusters import merge_groups
-from skerry.plans.datasets import rebuild_split
+from skerry.plans.datasets import rebuild_split, targeted_draw
 
 SCORES = "site int, proc long, run long, score double"
 
@@ -77,3 +77,12 @@ def test_rebuilt_split_never_shares_a_sequence(spark):
     for i, s, n in adds[:-1]:
         assert got[i] == ((None, "several detections") if n != 1 else (None, "held-out sequence") if s in val else ("train", "added"))
     assert rows(rebuild_split(f.limit(0), a.limit(0), target=20)) == []
+
+
+def test_targeted_draw_takes_turns_and_one_a_sequence(spark):
+    pool = [(1, 0, 1, 0.5), (2, 0, 1, 0.6), (3, 0, 2, 0.45), (4, 0, 3, 0.1), (5, 0, 4, 0.9), (6, 0, None, 0.55), (7, 0, None, 0.7), (8, 0, 5, None), (9, 0, 6, 0.5), (9, 1, 6, 0.2)]
+    pool = spark.createDataFrame(pool, "image_id long, det_idx int, seq long, conf double")
+    seen = spark.createDataFrame([(6,), (6,), (None,)], "seq long")
+    assert [r[0] for r in targeted_draw(pool, seen, 4, 0.5).collect()] == [1, 3, 6, 4]
+    assert [r[0] for r in targeted_draw(pool, seen, 3, 0.5, surest=True).collect()] == [4, 5, 7]
+    assert targeted_draw(pool.limit(0), seen, 3, 0.5).count() == 0 and targeted_draw(pool, seen.limit(0), 50, 0.5).count() == 7
