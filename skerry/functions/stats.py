@@ -39,3 +39,12 @@ def binomial_two_sided(hits: Column, n: Column) -> Column:
 def band(score: Column, width: float = 0.1, top: int = 9) -> Column:
     """Half-open score band; the epsilon keeps 0.3 in band 3."""
     return F.least(F.lit(top), F.floor((score + 1e-9) / width)).cast("int")
+
+
+def round_scaled(x: Column, digits: int) -> Column:
+    """``x`` rounded half away from zero at its double's own product with a power of ten.
+
+    ``F.round`` rounds the shortest decimal that names the double; where that is a
+    tie, the two may differ by one last digit, and with it a cell.
+    """
+    return F.round(x.cast("double") * float(10**digits)) / float(10**digits)

@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.stats import round_scaled
 from ..scratch import new_path
 from ..session import table
 from ..sources import lifecycle, manifests, sinks
@@ -115,16 +116,18 @@ def map_layers(points: DataFrame, layer: str, lon: str, lat: str, weight: str, r
     return out.filter("resolution is null or weight > 0")
 
 
-_POINTS = "SELECT c_mktsegment AS layer, CASE WHEN c_custkey % 11 > 0 THEN round(c_acctbal / 40 - 60, 3) END AS x, round((c_custkey * 37 % 2000) / 10.0 - 99, 3) AS y, c_custkey % 5 AS w FROM {customer}"
+_POINTS = "SELECT c_mktsegment AS layer, CASE WHEN c_custkey % 11 > 0 THEN round(c_acctbal / 40 - 60, 3) END AS x, round((c_custkey * 37 % 2000) / 10.0 - 99, 3) AS y, c_custkey % 5 AS w FROM customer"
 
 
 @query(
     "pip14_map_layers",
-    f"WITH p AS ({_POINTS.replace('{customer}', 'customer')}), o AS (SELECT *, coalesce(x BETWEEN -180 AND 180 AND y BETWEEN -90 AND 90, false) AS placed FROM p), z AS (SELECT unnest([{', '.join(f'{r}::DOUBLE' for r in RESOLUTIONS)}]) AS r) "
+    f"WITH p AS ({_POINTS}), o AS (SELECT *, coalesce(x BETWEEN -180 AND 180 AND y BETWEEN -90 AND 90, false) AS placed FROM p), z AS (SELECT unnest([{', '.join(f'{r}::DOUBLE' for r in RESOLUTIONS)}]) AS r) "
     "SELECT layer, r AS resolution, round(floor(x / r) * r + r / 2, 4) AS lon, round(floor(y / r) * r + r / 2, 4) AS lat, count(*) AS n, CAST(sum(w) AS BIGINT) AS weight FROM o JOIN z ON placed GROUP BY ALL HAVING sum(w) > 0 "
     "UNION ALL SELECT layer, NULL, NULL, NULL, count(*), CAST(sum(w) AS BIGINT) FROM o WHERE NOT placed GROUP BY layer",
 )
 def pip14_map_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three resolutions of every layer, and what could not be placed."""
-    points = spark.sql(_POINTS, customer=table(spark, sf_dir, "customer"))
-    return map_layers(points.select("layer", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"), "w"), "layer", "x", "y", "w")
+    key = F.col("c_custkey")
+    x, y = round_scaled(F.col("c_acctbal") / 40 - 60, 3), round_scaled((key * 37 % 2000) / 10.0 - 99, 3)
+    points = table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("layer"), F.when(key % 11 > 0, x).alias("x"), y.alias("y"), (key % 5).alias("w"))
+    return map_layers(points, "layer", "x", "y", "w")

@@ -1,9 +1,11 @@
 """A stop between any two steps leaves a store readable; map layers lose no point."""
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from skerry.plans.store_life import map_layers
+from skerry.plans.registry import ORACLES
+from skerry.plans.store_life import map_layers, pip14_map_layers
 from skerry.scratch import new_path
 from skerry.sources import lifecycle as life
 
@@ -67,3 +69,15 @@ def test_layers_count_every_point_at_every_resolution(spark):
     none = (None, None, None, 2)
     assert got == sorted([("a", 2.0, 1.0, 1.0, 2, 5), ("a", 0.5, 1.25, 1.25, 2, 5), ("a", *none, 2), ("b", *none, 1)], key=repr)
     assert map_layers(df.limit(0), "layer", "x", "y", "w").count() == 0
+
+
+def test_map_layers_at_cell_borders_as_in_sql(spark, tmp_path):
+    key = F.col("id")
+    near = (key * 4).cast("double") - 0.02  # a tie of the third digit just below a border
+    rows = spark.range(1, 4000).select(key.alias("c_custkey"), near.alias("c_acctbal"), (key % 3).cast("string").alias("c_mktsegment"))
+    rows.write.parquet(f"{tmp_path}/customer.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW customer AS SELECT * FROM '{tmp_path}/customer.parquet/*.parquet'")
+    want = con.execute(f"SELECT layer, resolution, lon, lat, n, weight FROM ({ORACLES['pip14_map_layers']})").fetchall()
+    got = pip14_map_layers(spark, str(tmp_path)).select("layer", "resolution", "lon", "lat", "n", "weight").collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
