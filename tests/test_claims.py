@@ -5,9 +5,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from skerry.operators.claims import claim_in_order, retry_until_no_progress
+from skerry.operators.claims import claim_in_order, claim_nearest, retry_until_no_progress
 from skerry.operators.clusters import merge_groups
-from skerry.plans.datasets import rebuild_split, targeted_draw
+from skerry.plans.datasets import joi28_exclusive_best_claim, rebuild_split, targeted_draw
 
 SCORES = "site int, proc long, run long, score double"
 
@@ -37,6 +37,29 @@ def test_claims_of_nulls_and_none(spark):
     assert rows(claim_in_order(odd.limit(0), "site", "proc", "run", "score")) == []
 
 
+def test_nearest_claims_as_over_all_pairs(spark):
+    rng = random.Random(9)
+    place = lambda: rng.choice([None, 0.1, *(rng.randrange(-9, 9) / 4 for _ in range(9)), 5e-5])
+    procs = [(rng.choice([None, 0, 1, 2]), p, place()) for p in (*range(30), 3, 5, None)] + [(8, 99, 0.0)]
+    runs = [(rng.choice([None, 0, 1, 2]), r, place()) for r in (*range(26), 3, 3, 9, None)] + [(9, 98, 0.0)]
+    want = []
+    for site in range(3):
+        taken = set()
+        for p in sorted({p for s, p, _ in procs if s == site and p is not None}):
+            pairs = [((float("inf"), 1) if x is None or y is None else (round(abs(x - y), 4), 0), r) for s, q, x in procs for z, r, y in runs if s == z == site and q == p and r is not None and r not in taken]
+            if pairs:
+                taken.add(min(pairs)[1])
+                want.append((site, p, min(pairs)[1]))
+    c, t = spark.createDataFrame(procs, "site int, proc long, x double"), spark.createDataFrame(runs, "site int, run long, x double")
+    assert rows(claim_nearest(c, t, "site", "proc", "run", "x")) == sorted(want, key=repr) and len(want) > 15
+    assert rows(claim_nearest(c.limit(0), t, "site", "proc", "run", "x")) == rows(claim_nearest(c, t.limit(0), "site", "proc", "run", "x")) == []
+
+
+def test_exclusive_claim_makes_no_pairs(spark, sf):
+    plan = joi28_exclusive_best_claim(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+
+
 def test_retry_stops_without_progress(spark):
     items = spark.range(8).withColumnRenamed("id", "item")
     calls = []
