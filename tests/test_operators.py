@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -147,6 +148,45 @@ def test_box_matching_with_a_side_without_rows(spark):
     assert got(pred, truth.filter("image_id = 1")) == {(1, 0, 0), (2, 0, None)}
 
 
+def test_box_matching_of_many_images_at_once(spark, monkeypatch):
+    rnd = random.Random(5)
+    box = lambda: (x := rnd.choice([None, *map(float, range(8))]), 0.0, (x or 0.0) + rnd.randint(1, 6), 4.0)
+    ids = [None, -3, *range(60)]
+    pred = [(i, k, rnd.choice([None, 0.25, 0.5, 0.75]), *box()) for i in ids for k in range(rnd.choice([0, 1, 5, 40]))]
+    truth = [(i, k, *box()) for i in ids for k in range(rnd.choice([0, 1, 5, 40]))]
+
+    def over(a, b):
+        if None in a or None in b:
+            return 0.0
+        w = max(0, min(a[2], b[2]) - max(a[0], b[0]))
+        return w * 4 / ((a[2] - a[0]) * 4 + (b[2] - b[0]) * 4 - w * 4)
+
+    want = []
+    for i in ids:
+        free = {t[1]: t[2:] for t in truth if t[0] == i}
+        for p in sorted((p for p in pred if p[0] == i), key=lambda p: (-(p[2] or 0), p[1])):
+            best = max(free, key=lambda k: (over(p[3:], free[k]), -k), default=None)
+            found = best is not None and over(p[3:], free[best]) >= 0.5
+            want.append((i, p[1], best, round(over(p[3:], free.pop(best)), 9)) if found else (i, p[1], None, None))
+        want += [(i, None, k, None) for k in free]
+    p = spark.createDataFrame(pred, "image_id long, idx int, conf double, x1 double, y1 double, x2 double, y2 double")
+    t = spark.createDataFrame(truth, "image_id long, idx int, x1 double, y1 double, x2 double, y2 double")
+    try:
+        for rows in ("7", "10000"):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+            df = boxes.greedy_match(p, t)
+            assert "CoGroup" not in df._jdf.queryExecution().optimizedPlan().toString()  # no call of Python an image
+            assert sorted(((*r[:3], r[3] and round(r[3], 9)) for r in df.collect()), key=repr) == sorted(want, key=repr)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    image, b = np.repeat([0, 1, 2], [9, 14, 3]), np.array([[x % 5, 0, x % 5 + 3, 4] for x in range(26)], float)
+    is_truth = np.array([0] * 4 + [1] * 5 + [0] * 6 + [1] * 8 + [0] * 3, bool)
+    whole = boxes.match_images(image, is_truth, b, 0.4)
+    monkeypatch.setattr(boxes, "PAIRS", 6)
+    for x, y in zip(whole, boxes.match_images(image, is_truth, b, 0.4), strict=True):
+        np.testing.assert_array_equal(x, y)
+
+
 def test_ranks_follow_text_keys(spark):
     df = spark.createDataFrame([(x,) for x in ["b", "a", "", None, "ab", "é", "z", "aa"]], "k string")
     got = [r["k"] for r in manifests.with_row_index(df, ["k"]).orderBy("row_index").collect()]
