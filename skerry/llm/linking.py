@@ -42,6 +42,11 @@ def shared_buckets(members: DataFrame) -> DataFrame:
     return materialize(members.join(most, "band"), "bucket")
 
 
+def _flat(df: DataFrame) -> DataFrame:
+    """A row for each band of each id."""
+    return df.select(*[c for c in df.columns if c != "bands"], F.inline("bands"))
+
+
 def _side(df: DataFrame, s: str) -> DataFrame:
     return df.select(*[F.col(c).alias(f"{s}{c}") for c in df.columns])
 
@@ -55,15 +60,19 @@ def link_buckets(bucket: DataFrame, info: DataFrame, near: Callable[[str, str],
     like ``whole``, which has what decides of each id, and returns the linked pairs
     as ``(u, v)``.  ``links`` are links known before.
     """
-    rows = materialize(bucket.join(info, "id"), "wide", drop=(bucket,))
+    # An id is one row with all its bands; a label is joined once an id, and rows of bands only exist between exchanges.
+    held = bucket.groupBy("id").agg(F.collect_list(F.struct("band", "many")).alias("bands"))
+    rows = materialize(held.join(info, "id"), "wide", drop=(bucket,))
     allowed = near("x_", "y_") & (F.col("x_band") == F.col("y_band"))
-    few, large = rows.filter(F.col("many") <= SMALL), rows.filter(F.col("many") > SMALL)
+    of_size = lambda is_large: rows.withColumn("bands", F.filter("bands", lambda b: (b["many"] > SMALL) == F.lit(is_large))).filter(F.size("bands") > 0)
+    few, large = _flat(of_size(False)), of_size(True)
     pairs = _side(few, "x_").join(_side(few, "y_"), (F.col("x_id") < F.col("y_id")) & allowed).select(F.col("x_id").alias("x"), F.col("y_id").alias("y"))
 
     def draw(strays: DataFrame, members: DataFrame, turn: int) -> DataFrame:
         """Some partners of each stray among the leaders of some of its bands."""
-        tried = strays.withColumn("__k", F.row_number().over(Window.partitionBy("id").orderBy(F.xxhash64("band", F.lit(turn)), "band"))).filter(F.col("__k") <= TRIED).drop("__k")
-        lead = members.filter(F.pmod(F.xxhash64("id", F.lit(turn)), F.col("many")) < LEADERS)
+        dealt = F.array_sort(F.transform("bands", lambda b: F.struct(F.xxhash64(b["band"], F.lit(turn)).alias("h"), b["band"].alias("band"), b["many"].alias("many"))))
+        tried = _flat(strays.withColumn("bands", F.slice(dealt, 1, TRIED))).drop("h")
+        lead = _flat(members).filter(F.pmod(F.xxhash64("id", F.lit(turn)), F.col("many")) < LEADERS)
         met = _side(tried, "x_").join(_side(lead, "y_"), (F.col("x_tag") != F.col("y_tag")) & allowed).select(F.col("x_id").alias("x"), F.col("y_id").alias("y")).distinct()
         return met.withColumn("__k", F.row_number().over(Window.partitionBy("x").orderBy(F.xxhash64("x", "y", F.lit(turn)), "y"))).filter(F.col("__k") <= PARTNERS).select("x", "y")
 
@@ -76,30 +85,34 @@ def link_buckets(bucket: DataFrame, info: DataFrame, near: Callable[[str, str],
     some = None
     for turn in range(1, ROUNDS + 1):
         tagged = large.join(label, "id", "left").withColumn("tag", F.coalesce("component", "id")).drop("component")
-        open_ = tagged.groupBy("band").agg(F.min("tag").alias("lo"), F.max("tag").alias("hi"), F.min_by("tag", F.xxhash64("id", F.lit(turn))).alias("main")).filter("lo <> hi").select("band", "main")
+        band = _flat(tagged.select("id", "tag", "bands"))
+        open_ = band.groupBy("band").agg(F.min("tag").alias("lo"), F.max("tag").alias("hi"), F.min_by("tag", F.xxhash64("id", F.lit(turn))).alias("main")).filter("lo <> hi").select("band", "main")
+        still = band.select("id", "band", "many").join(open_, "band").groupBy("id").agg(F.collect_list(F.struct("band", "many", "main")).alias("bands"))
         # The bands' tags were decided by the label before: those of `large` are written anew.
-        mixed = materialize(tagged.join(open_, "band"), "mixed", drop=(rows,))
+        mixed = materialize(tagged.drop("bands").join(still, "id"), "mixed", drop=(rows,))
         discard(large)
         if mixed.isEmpty():
             large = mixed
             break
         if some is None:
-            some = materialize(whole.join(mixed.select("id").distinct(), "id", "left_semi"), "some")
-        stray = mixed.filter("tag <> main")
+            some = materialize(whole.join(mixed.select("id"), "id", "left_semi"), "some")
+        stray = mixed.withColumn("bands", F.filter("bands", lambda b: b["main"] != F.col("tag"))).filter(F.size("bands") > 0)
         if turn < ROUNDS:
             more = confirm(draw(stray, mixed, turn), some)
         else:
             # A pair is made in the smallest band that both hold among their first FIRST ones; where there is none, in all they share.
-            first = mixed.groupBy("id").agg(F.slice(F.array_sort(F.collect_set("band")), 1, FIRST).alias("bands"))
-            x, y = _side(stray.join(first, "id"), "x_"), _side(mixed.join(first, "id"), "y_")
+            first = F.slice(F.array_sort(F.transform("bands", lambda b: b["band"])), 1, FIRST)
+            known = mixed.withColumn("first", first)
+            y = _side(_flat(known), "y_")
+            x = _side(_flat(known).filter("tag <> main"), "x_")
             apart = (F.col("x_tag") != F.col("y_tag")) & ((F.col("y_tag") == F.col("y_main")) | (F.col("y_id") < F.col("x_id")))
-            once = F.coalesce(F.array_min(F.array_intersect("x_bands", "y_bands")) == F.col("x_band"), F.lit(True))
+            once = F.coalesce(F.array_min(F.array_intersect("x_first", "y_first")) == F.col("x_band"), F.lit(True))
             more = confirm(x.join(y, apart & allowed & once).select(F.col("x_id").alias("x"), F.col("y_id").alias("y")).distinct(), some)
         found = materialize(label.select(F.col("id").alias("u"), F.col("component").alias("v")).union(more), "link", drop=(label,))
         label = components(found)
         discard(found)
         gc.collect()  # frames in cycles hold plans in the driver's JVM
-        large = mixed.drop("tag", "main")
+        large = mixed.drop("tag").withColumn("bands", F.transform("bands", lambda b: F.struct(b["band"].alias("band"), b["many"].alias("many"))))
         large._scratch = mixed._scratch
     discard(rows, large, *(() if some is None else (some,)))
     return label

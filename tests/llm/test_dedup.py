@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pytest
 
-from skerry.llm import lines, minhash, queries, suffixes
+from skerry.llm import lines, linking, minhash, queries, suffixes
 
 
 def union_find(n):
@@ -231,6 +231,31 @@ def test_hot_bucket_of_apart_lines_loses_no_link(spark):
     assert got == {k: int(find(k) != k) for k in range(len(made))} and sum(got.values()) == 20
 
 
+def test_a_large_group_is_labelled_once_an_id(spark, monkeypatch):
+    """Whatever the number of bands that near copies share, the tables that labels are joined to have a row an id."""
+    rnd = random.Random(8)
+    base = [f"w{k}" for k in range(100)]
+    texts = []
+    for k in range(60):
+        w = list(base)
+        for i in rnd.sample(range(100), 1 + k % 6):
+            w[i] = f"z{rnd.randint(0, 9999)}"
+        texts.append(" ".join(w))
+    seen, write = [], linking.materialize
+
+    def counted(df, name="t", drop=()):
+        out = write(df, name, drop)
+        if name in ("wide", "mixed"):
+            seen.append((out.count(), out.select("id").distinct().count()))
+        return out
+
+    monkeypatch.setattr(linking, "materialize", counted)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [tuple(r) for r in minhash.near_duplicates(df, words=2).orderBy("doc_id").collect()]
+    assert got == near_by_force(texts, 2, 80)
+    assert seen[0][1] > 50 and all(rows == ids for rows, ids in seen)
+
+
 def test_words_of_lines_are_hashed_as_they_are_split():
     rnd = random.Random(1)
     some = ["".join(rnd.choice("ab c\t\u3000\u00a0日本語éก\x1c\x85 ไทย") for _ in range(rnd.randint(0, 40))).encode() for _ in range(500)]
