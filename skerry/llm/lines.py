@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from operator import ne
 
 import numpy as np
 import pyarrow as pa
@@ -443,42 +444,84 @@ def parities(have: Letters) -> np.ndarray:
     return np.concatenate([_odd((a & 63)[inside], owner[inside], lines, 64), _odd(((a[:-1] * 31 + a[1:] * 17) & 63)[pair], owner[:-1][pair], lines, 64), _odd(cell, who, lines, CLASSES)], axis=1)
 
 
-def _texts(df: DataFrame, text: str, min_bytes: int) -> DataFrame:
+def _send_texts(min_bytes: int, parts: int):
+    """Lines of each part of them with their hashes, packed by the task that collects them."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lines in _distinct(batches, min_bytes, 0):
-            h = _ids(lines)
-            yield pa.RecordBatch.from_arrays([pa.array(h[:, 0]), pa.array(h[:, 1]), pa.array(lines, pa.binary())], names=["id", "more", "bytes"])
+            ids = _ids(lines)
+            task = ids[:, 0] % parts
+            order = np.argsort(task, kind="stable")
+            cut = np.searchsorted(task[order], np.arange(parts + 1)).tolist()
+            ids, at = ids[order], order.tolist()
+            out = [(k, np.int64(j - i).tobytes() + ids[i:j].tobytes() + b"\n".join([lines[x] for x in at[i:j]])) for k, (i, j) in enumerate(zip(cut, cut[1:], strict=False)) if i < j]
+            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in out], pa.int32()), pa.nulls(len(out), pa.int64()), pa.array([x for _, x in out], pa.binary())], names=["part", "id", "blob"])
 
-    return df.select(text).mapInArrow(run, "id long, more long, bytes binary")
+    return run
 
 
-def _bounds(texts: DataFrame, rate: int | None) -> DataFrame:
-    """Adds what bounds the edits of lines: ``n`` characters, ``w`` words, ``t`` word edits, and parities."""
-    names = [f"p{k}" for k in range(2 + CLASSES // 64)]
+def _bounds(texts: list[tuple[int, int, bytes]], rate: int | None) -> pa.RecordBatch:
+    """``(id, more, bytes)`` and what bounds the edits of lines: ``n`` characters, ``w`` words, ``t`` word edits, and parities."""
+    ids, more, lines = map(list, zip(*texts, strict=True))
+    have = Letters(lines)
+    odd = parities(have)
+    most = [word_edits(x, rate) if rate else 0 for x in have.count.tolist()]
+    sizes = [pa.array(have.size.astype(np.int32)), pa.array(have.count.astype(np.int32)), pa.array(most, pa.int32())]
+    return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(more, pa.int64()), pa.array(lines, pa.binary()), *sizes, *[pa.array(x) for x in odd.T]], names=["id", "more", "bytes", "n", "w", "t", *[f"p{k}" for k in range(odd.shape[1])]])
+
+
+def _collect_texts(rate: int | None):
+    """Each line of which the id comes before all texts, once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for k in range(0, whole.num_rows, 2000):
-                b = whole.slice(k, 2000)
-                lines = b.column(2).to_pylist()
-                have = Letters(lines)
-                odd = parities(have)
-                most = [word_edits(x, rate) if rate else 0 for x in have.count.tolist()]
-                sizes = [pa.array(have.size.astype(np.int32)), pa.array(have.count.astype(np.int32)), pa.array(most, pa.int32())]
-                yield pa.RecordBatch.from_arrays([*b.columns, *sizes, *[pa.array(x) for x in odd.T]], names=["id", "more", "bytes", "n", "w", "t", *names])
+        some: list[np.ndarray] = []
+        ids, seen, out = None, np.zeros(0, bool), []
+        for b in batches:
+            some.append(b.column(1).drop_null().to_numpy())
+            for x in b.column(2).drop_null():
+                if ids is None:
+                    ids = np.unique(np.concatenate(some))
+                    seen = np.zeros(len(ids), bool)
+                raw = x.as_py()
+                n = int(np.frombuffer(raw, np.int64, 1)[0])
+                both = np.frombuffer(raw, np.int64, 2 * n, 8).reshape(n, 2)
+                place = np.minimum(np.searchsorted(ids, both[:, 0]), len(ids) - 1)
+                new = np.flatnonzero((ids[place] == both[:, 0]) & ~seen[place]) if len(ids) else ()
+                if not len(new):
+                    continue
+                lines = raw[8 + 16 * n :].split(b"\n")
+                for k in new.tolist():
+                    if not seen[place[k]]:
+                        seen[place[k]] = True
+                        out.append((int(both[k, 0]), int(both[k, 1]), lines[k]))
+                while len(out) >= 2000:
+                    yield _bounds(out[:2000], rate)
+                    out = out[2000:]
+        if out:
+            yield _bounds(out, rate)
+
+    return run
 
-    return texts.select("id", "more", "bytes").mapInArrow(run, "id long, more long, bytes binary, n int, w int, t int, " + ", ".join(f"{x} long" for x in names))
+
+def _texts(df: DataFrame, text: str, min_bytes: int, some: DataFrame, rate: int | None) -> DataFrame:
+    """A row for each line of which ``some`` has the id, with its bounds (see ``_bounds``)."""
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sent = df.select(text).mapInArrow(_send_texts(min_bytes, tasks), "part int, id long, blob binary")
+    wanted = some.select(F.pmod("id", F.lit(tasks)).cast("int").alias("part"), "id", F.lit(None).cast("binary").alias("blob"))
+    fields = "id long, more long, bytes binary, n int, w int, t int, " + ", ".join(f"p{k} long" for k in range(2 + CLASSES // 64))
+    return wanted.union(sent).repartition(tasks, "part").sortWithinPartitions(F.col("id").isNull()).mapInArrow(_collect_texts(rate), fields)
 
 
 def linked(a: bytes, b: bytes, edits: int, rate: int | None = None) -> bool:
     """Whether two lines are within ``edits`` edits of characters or, with ``rate``, the shorter one's edits of words."""
-    if edit_distance(a.decode(), b.decode(), edits) <= edits:
-        return True
-    if not rate:
-        return False
-    x, y = tuple(line_words(a)), tuple(line_words(b))
-    most = word_edits(min(len(x), len(y)), rate)
-    return most > 0 and edit_distance(x, y, most) <= most
+    if rate:
+        x, y = line_words(a), line_words(b)
+        most = word_edits(min(len(x), len(y)), rate)
+        if most and abs(len(x) - len(y)) <= most:
+            # Most copies have words replaced in place; those need no table.
+            if len(x) == len(y) and sum(map(ne, x, y)) <= most or edit_distance(tuple(x), tuple(y), most) <= most:
+                return True
+    return edit_distance(a.decode(), b.decode(), edits) <= edits
 
 
 def _near(pairs: DataFrame, edits: int, rate: int | None) -> DataFrame:
@@ -504,8 +547,7 @@ def repeated_lines(df: DataFrame, edits: int = EDITS, min_bytes: int = MIN_BYTES
     keys_ = materialize(_shared(with_row, text, min_bytes, edits, rate).distinct(), "keys")
     bucket = shared_buckets(keys_)
     discard(keys_)
-    some = bucket.select("id").distinct()
-    texts = materialize(_bounds(_texts(with_row, text, min_bytes).join(some, "id", "left_semi").dropDuplicates(["id"]), rate), "linetext")
+    texts = materialize(_texts(with_row, text, min_bytes, bucket.select("id"), rate), "linetext")
 
     def confirm(pairs: DataFrame, whole: DataFrame) -> DataFrame:
         side = lambda s: whole.select(F.col("id").alias(s), F.col("bytes").alias(f"t{s}"))
@@ -547,4 +589,6 @@ def dedup_lines(df: DataFrame, edits: int = EDITS, min_bytes: int = MIN_BYTES, i
     out = df.join(gone, F.col("__row") == F.col("__doc"), "left")
     lines = F.split(text, "\n", -1)
     left = F.when(F.col("__gone").isNull(), F.col(text)).otherwise(F.array_join(F.filter(lines, lambda x, k: ~F.array_contains("__gone", k)), "\n"))
-    return out.select(*[left.alias(text) if c == text else F.col(c) for c in df.columns if c != "__row"], F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"), F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("n_removed"))
+    # Only texts that lose a line are split.
+    count = F.coalesce(F.octet_length(text) - F.octet_length(F.replace(F.col(text), F.lit("\n"), F.lit(""))) + 1, F.lit(0))
+    return out.select(*[left.alias(text) if c == text else F.col(c) for c in df.columns if c != "__row"], count.cast("long").alias("n_lines"), F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("n_removed"))

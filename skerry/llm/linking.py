@@ -4,7 +4,7 @@ Buckets of few ids compare all their pairs.  In larger ones every id meets a few
 leaders, drawn by a hash from some of its buckets; what is linked becomes one
 component.  Only buckets that then hold several components go on: their strays
 meet other leaders, and what is still apart after that meets every member of
-another component that ``near`` allows.  Links inside a component need no check,
+another component that ``near`` allows; at once, if those are few a row.  Links inside a component need no check,
 so a bucket of n rows that are all alike costs a few n comparisons.  Every pair of
 a bucket is either inside one component or compared, so no link is lost.
 """
@@ -24,6 +24,8 @@ from ..scratch import discard, materialize
 SMALL = 16
 #: Rounds of drawn leaders; leaders of a bucket, buckets of an id and partners of an id in a round.
 ROUNDS, LEADERS, TRIED, PARTNERS = 2, 8, 3, 4
+#: Pairs for each row of the buckets still open, up to which all are compared without another round of leaders.
+DIRECT = 512
 #: Bands of an id that are looked at so that a pair is made once.
 FIRST = 64
 
@@ -51,6 +53,17 @@ def _side(df: DataFrame, s: str) -> DataFrame:
     return df.select(*[F.col(c).alias(f"{s}{c}") for c in df.columns])
 
 
+def _joined(label: DataFrame, links: DataFrame) -> DataFrame:
+    """``label`` (deleted) with the components that ``links`` connect as one; only those are walked anew."""
+    of = lambda s: label.select(F.col("id").alias(s), F.col("component").alias(f"{s}c"))
+    between = links.join(of("u"), "u", "left").join(of("v"), "v", "left").select(F.coalesce("uc", "u").alias("u"), F.coalesce("vc", "v").alias("v"))
+    between = materialize(between.filter("u <> v").distinct(), "link")
+    moved = components(between)
+    to = moved.select(F.col("id").alias("component"), F.col("component").alias("to"))
+    out = label.join(to, "component", "left").select("id", F.coalesce("to", "component").alias("component"))
+    return materialize(out.union(moved.join(label, "id", "left_anti")), "label", drop=(label, between, moved))
+
+
 def link_buckets(bucket: DataFrame, info: DataFrame, near: Callable[[str, str], Column], confirm: Callable[[DataFrame, DataFrame], DataFrame], whole: DataFrame, links: DataFrame | None = None) -> DataFrame:
     """``(id, component)`` of every id with a link.
 
@@ -91,14 +104,16 @@ def link_buckets(bucket: DataFrame, info: DataFrame, near: Callable[[str, str],
         # The bands' tags were decided by the label before: those of `large` are written anew.
         mixed = materialize(tagged.drop("bands").join(still, "id"), "mixed", drop=(rows,))
         discard(large)
-        if mixed.isEmpty():
+        strays = F.filter("bands", lambda b: b["main"] != F.col("tag"))
+        open_rows, meets = mixed.agg(F.sum(F.size("bands")), F.sum(F.aggregate(strays, F.lit(0.0), lambda n, b: n + b["many"]))).first()
+        if not open_rows:
             large = mixed
             break
-        if some is None:
+        last = turn == ROUNDS or meets <= DIRECT * open_rows
+        if some is None and not last:
             some = materialize(whole.join(mixed.select("id"), "id", "left_semi"), "some")
-        stray = mixed.withColumn("bands", F.filter("bands", lambda b: b["main"] != F.col("tag"))).filter(F.size("bands") > 0)
-        if turn < ROUNDS:
-            more = confirm(draw(stray, mixed, turn), some)
+        if not last:
+            more = confirm(draw(mixed.withColumn("bands", strays).filter(F.size("bands") > 0), mixed, turn), some)
         else:
             # A pair is made in the smallest band that both hold among their first FIRST ones; where there is none, in all they share.
             first = F.slice(F.array_sort(F.transform("bands", lambda b: b["band"])), 1, FIRST)
@@ -107,12 +122,12 @@ def link_buckets(bucket: DataFrame, info: DataFrame, near: Callable[[str, str],
             x = _side(_flat(known).filter("tag <> main"), "x_")
             apart = (F.col("x_tag") != F.col("y_tag")) & ((F.col("y_tag") == F.col("y_main")) | (F.col("y_id") < F.col("x_id")))
             once = F.coalesce(F.array_min(F.array_intersect("x_first", "y_first")) == F.col("x_band"), F.lit(True))
-            more = confirm(x.join(y, apart & allowed & once).select(F.col("x_id").alias("x"), F.col("y_id").alias("y")).distinct(), some)
-        found = materialize(label.select(F.col("id").alias("u"), F.col("component").alias("v")).union(more), "link", drop=(label,))
-        label = components(found)
-        discard(found)
+            more = confirm(x.join(y, apart & allowed & once).select(F.col("x_id").alias("x"), F.col("y_id").alias("y")).distinct(), whole if some is None else some)
+        label = _joined(label, more)
         gc.collect()  # frames in cycles hold plans in the driver's JVM
         large = mixed.drop("tag").withColumn("bands", F.transform("bands", lambda b: F.struct(b["band"].alias("band"), b["many"].alias("many"))))
         large._scratch = mixed._scratch
+        if last:
+            break
     discard(rows, large, *(() if some is None else (some,)))
     return label

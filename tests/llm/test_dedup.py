@@ -231,6 +231,78 @@ def test_hot_bucket_of_apart_lines_loses_no_link(spark):
     assert got == {k: int(find(k) != k) for k in range(len(made))} and sum(got.values()) == 20
 
 
+@pytest.mark.parametrize("direct", [-1, linking.DIRECT])
+def test_open_buckets_walk_new_links_only(spark, monkeypatch, direct):
+    """With rounds of leaders or without, components are not made anew from all labels, and no link is lost."""
+    rnd = random.Random(22)
+    made = []
+    for k in range(50):
+        head = " ".join(f"same{i}" for i in range(14)) if k % 2 else " ".join(f"h{k}x{i}" for i in range(14))
+        tail = [f"t{rnd.randint(0, 10**6)}" for _ in range(6)]
+        made.append(head + " " + " ".join(tail))
+        for _ in range(k % 3):
+            tail[rnd.randrange(6)] = f"o{rnd.randint(0, 10**6)}"
+            made.append(head + " " + " ".join(tail))
+    rnd.shuffle(made)
+    parent, find = union_find(len(made))
+    for i, a in enumerate(made):
+        for j in range(i):
+            if lines.linked(a.encode(), made[j].encode(), 2, 16):
+                x, y = find(i), find(j)
+                parent[max(x, y)] = min(x, y)
+    walked, mixed, make, write = [], [], linking.components, linking.materialize
+    monkeypatch.setattr(linking, "components", lambda edges: walked.append(edges.count()) or make(edges))
+    monkeypatch.setattr(linking, "materialize", lambda df, name="t", drop=(): mixed.append(name) or write(df, name, drop))
+    monkeypatch.setattr(linking, "DIRECT", direct)
+    df = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")
+    got = {r["doc_id"]: r["n_removed"] for r in lines.dedup_lines(df, rate=16).collect()}
+    assert got == {k: int(find(k) != k) for k in range(len(made))} and sum(got.values()) > 40
+    assert mixed.count("mixed") == (1 if direct > 0 else 2)
+    assert len(walked) == 1 + mixed.count("mixed") and walked[0] > 5 * sum(walked[1:])
+
+
+def test_links_join_labels(spark):
+    rnd = random.Random(3)
+    parent, find = union_find(200)
+
+    def join(u, v):
+        x, y = find(u), find(v)
+        parent[max(x, y)] = min(x, y)
+
+    old = [(rnd.randrange(120), rnd.randrange(120)) for _ in range(60)]
+    for u, v in old:
+        join(u, v)
+    label = linking.components(spark.createDataFrame(old, "u long, v long"))
+    new = [(rnd.randrange(200), rnd.randrange(200)) for _ in range(40)]
+    for u, v in new:
+        join(u, v)
+    got = [tuple(r) for r in linking._joined(label, spark.createDataFrame(new, "u long, v long")).orderBy("id").collect()]
+    assert got == [(k, find(k)) for k in sorted({x for pair in old + new if pair[0] != pair[1] for x in pair})]
+
+
+def test_words_replaced_in_place_need_no_table(monkeypatch):
+    a = [f"w{k}" for k in range(48)]
+    b = ["other" if k in (3, 20, 40) else w for k, w in enumerate(a)]
+    c = ["other" if k in (3, 20, 30, 40) else w for k, w in enumerate(a)]
+    x, y, z = (" ".join(w).encode() for w in (a, b, c))
+    assert lines.linked(x, y, 2, 16) and not lines.linked(x, z, 2, 16) and lines.linked(x, b"new " + x, 2, 16)
+    monkeypatch.setattr(lines, "edit_distance", None)
+    assert lines.linked(x, y, 2, 16)
+
+
+def test_wanted_lines_come_once(spark):
+    """Texts of lines by id: each once, whatever the number of its copies and of the rows that ask for it."""
+    made = [f"line {k} that is long enough for edits, {k * 7919}" for k in range(300)] + ["Zeile mit é und 日本語, lang genug für Änderungen"]
+    df = spark.createDataFrame([("\n".join(made[k:] + made[:20]),) for k in range(0, 300, 50)] + [(None,), ("",)], "text string").repartition(3)
+    ids = dict(zip(made, lines._ids([x.encode() for x in made]).tolist(), strict=True))
+    some = made[::3] + made[:9] + made[-1:]
+    ask = spark.createDataFrame([(ids[x][0],) for x in some] + [(12345,)], "id long")
+    got = lines._texts(df, "text", 32, ask, 16).collect()
+    assert sorted((r["id"], r["more"], bytes(r["bytes"]).decode()) for r in got) == sorted((*ids[x], x) for x in set(some))
+    assert all(r["n"] == len(bytes(r["bytes"]).decode()) for r in got)
+    assert lines._texts(df, "text", 32, ask.limit(0), 16).count() == 0
+
+
 def test_a_large_group_is_labelled_once_an_id(spark, monkeypatch):
     """Whatever the number of bands that near copies share, the tables that labels are joined to have a row an id."""
     rnd = random.Random(8)
